@@ -60,14 +60,16 @@ def create_tables(
     namespace: str,
     registry: Registry,
     location: str | None = None,
+    tables: list[str] | None = None,
 ) -> int:
     """Create the namespace and each table that is absent; returns the statements run."""
-    if not registry.contracts:
-        raise ValueError(f"{registry.name} declares no table")
+    names = registry.tables if tables is None else tables
+    if not names:
+        raise ValueError(f"{registry.name}: no table to create")
     create_namespace(spark, namespace, location, f"Raw copies of the {registry.name} tables with lineage columns")
-    for contract in registry:
-        spark.sql(table_ddl(namespace, contract))
-    return 1 + len(registry.contracts)
+    for name in names:
+        spark.sql(table_ddl(namespace, registry[name]))
+    return 1 + len(names)
 
 
 def require_table(spark: SparkSession, namespace: str, table: str) -> str:
