@@ -31,7 +31,8 @@ def chain_breaks(events: DataFrame, events_per_task: int = EVENTS_PER_TASK) -> D
         short = _with_previous(events.join(hot, _KEY, "left_anti"))
         long = _with_previous_by_ranges(events.join(hot, _KEY, "left_semi"), events_per_task)
         chained = short.unionByName(long)
-    return chained.where(~F.col("old_status").eqNullSafe(F.col("expected_status")))
+    broken = chained.where(~F.col("old_status").eqNullSafe(F.col("expected_status")))
+    return broken.select(*events.columns, "expected_status")
 
 
 def _with_previous(events: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def _with_previous_by_ranges(events: DataFrame, events_per_task: int) -> DataFra
 
     walk = Window.partitionBy("_range", _KEY).orderBy(*_ORDER)
     last = placed.groupBy("_range", _KEY).agg(
-        F.max_by("new_status", F.struct(*_ORDER[:2])).alias("_last")
+        F.max_by("new_status", F.struct(*_ORDER)).alias("_last")
     )
     before = last.withColumn("_before", F.lag("_last").over(Window.partitionBy(_KEY).orderBy("_range")))
     return (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,15 +16,18 @@ def high_water_mark(df: DataFrame, contract: TableContract) -> int | None:
     return df.agg(F.max(F.unix_micros(contract.modified))).first()[0]
 
 
-def changed_since(contract: TableContract, mark: int, overlap: timedelta = timedelta(0)) -> Column:
-    """Rows modified at or after the mark, or at an unknown time.
+def window_start(mark: int, overlap: timedelta) -> int:
+    """Where an increment starts: some time before the mark, for rows committed late."""
+    return mark - overlap // timedelta(microseconds=1)
 
-    The mark itself is included: rows committed late may carry the same time.
+
+def changed_since(contract: TableContract, start: int) -> Column:
+    """Rows modified at or after an instant in microseconds, or at an unknown time.
+
+    The instant itself is included: other rows may carry the time of the last one.
     """
-    start = mark - overlap // timedelta(microseconds=1)
     modified = F.col(contract.modified)
-    instant = datetime(1970, 1, 1) + timedelta(microseconds=start)
-    return (modified >= F.lit(instant)) | modified.isNull()
+    return (modified >= F.timestamp_micros(F.lit(start))) | modified.isNull()
 
 
 def not_yet_loaded(extract: DataFrame, target: DataFrame, contract: TableContract, window: Column) -> DataFrame:

@@ -18,10 +18,11 @@ MODES = ("truncate", "append")
 
 @dataclass(frozen=True)
 class Loaded:
-    """Rows written, and the highest modified time among them in microseconds."""
+    """Rows written, their highest modified time in microseconds, and the rows without one."""
 
     rows: int
     high_water: int | None
+    unmarked: int
 
 
 def measured(df: DataFrame, contract: TableContract) -> tuple[DataFrame, Observation]:
@@ -34,12 +35,13 @@ def measured(df: DataFrame, contract: TableContract) -> tuple[DataFrame, Observa
     measures = [F.count(F.lit(1)).alias("rows")]
     if contract.modified:
         measures.append(F.max(F.unix_micros(contract.modified)).alias("high_water"))
+        measures.append(F.count_if(F.col(contract.modified).isNull()).alias("unmarked"))
     return df.observe(seen, *measures), seen
 
 
 def loaded(seen: Observation) -> Loaded:
     found = seen.get
-    return Loaded(found.get("rows") or 0, found.get("high_water"))
+    return Loaded(found.get("rows") or 0, found.get("high_water"), found.get("unmarked") or 0)
 
 
 def load(
@@ -50,37 +52,48 @@ def load(
     run: Run,
     mode: str = "truncate",
 ) -> Loaded:
-    """Write a stamped frame as one batch of an existing table.
+    """Write a stamped frame as one batch and make it part of the table."""
+    written = write_batch(spark, df, contract, namespace, run)
+    publish_batch(spark, contract, namespace, run, mode)
+    return written
 
-    The batch is written beside the table's other batches and only then made
-    part of the table, so a load that fails changes nothing a reader sees.
-    Truncating drops every other batch, of all ingest dates, after that.
+
+def write_batch(spark: SparkSession, df: DataFrame, contract: TableContract, namespace: str, run: Run) -> Loaded:
+    """Write a stamped frame into its batch's folder of an existing table.
+
+    Readers go by the catalog, so nothing changes for them until the batch is
+    published; a run that fails before that leaves the table as it was.
     """
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     table = require_table(spark, namespace, contract.name)
-    day, batch = run.ingested_date, run.run_id
-    folder = f"{table_location(spark, table)}/_ingested_date={day}/_ingestion_batch_id={batch}"
-
+    folder = f"{table_location(spark, table)}/{_spec(run)}"
     counted, seen = measured(df.drop("_ingestion_batch_id"), contract)
     counted.write.mode("overwrite").parquet(folder)
+    return loaded(seen)
+
 
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_partition(day, batch)}")
+def publish_batch(spark: SparkSession, contract: TableContract, namespace: str, run: Run, mode: str) -> None:
+    """Add a written batch to its table; truncating then drops the others, of all dates."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    table = require_table(spark, namespace, contract.name)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_partition(run.ingested_date, run.run_id)}")
     if mode == "truncate":
-        _drop_other_batches(spark, table, day, batch)
+        _drop_other_batches(spark, table, run)
     spark.catalog.refreshTable(table)
-    return loaded(seen)
+
+
+def _spec(run: Run) -> str:
+    return f"_ingested_date={run.ingested_date}/_ingestion_batch_id={run.run_id}"
 
 
 def _partition(day: str, batch: str) -> str:
     return f"PARTITION (_ingested_date = DATE'{day}', _ingestion_batch_id = '{batch}')"
 
 
-def _drop_other_batches(spark: SparkSession, table: str, day: str, batch: str) -> None:
-    kept = f"_ingested_date={day}/_ingestion_batch_id={batch}"
+def _drop_other_batches(spark: SparkSession, table: str, run: Run) -> None:
     found = [row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     others = [
-        _partition(*(part.split("=", 1)[1] for part in spec.split("/"))) for spec in found if spec != kept
+        _partition(*(part.split("=", 1)[1] for part in spec.split("/"))) for spec in found if spec != _spec(run)
     ]
     if others:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(others)}")
@@ -92,6 +105,7 @@ def read_table(
     contract: TableContract,
     *,
     batches: Iterable[str] | None = None,
+    except_batches: Iterable[str] = (),
     since: datetime | None = None,
     until: datetime | None = None,
 ) -> DataFrame:
@@ -103,6 +117,8 @@ def read_table(
     df = spark.table(require_table(spark, namespace, contract.name))
     if batches is not None:
         df = df.where(F.col("_ingestion_batch_id").isin(list(batches)))
+    if except_batches:
+        df = df.where(~F.col("_ingestion_batch_id").isin(list(except_batches)))
     if since is not None:
         day = since.astimezone(timezone.utc).date()
         df = df.where((F.col("_ingested_date") >= F.lit(day)) & (F.col("_ingested_at") >= F.lit(since)))

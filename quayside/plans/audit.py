@@ -16,7 +16,7 @@ AUDIT_TABLE = "load_audit"
 _COLUMNS = (
     "run_id string, ingested_at timestamp, ord int, table_name string, mode string, source_rows bigint, "
     "loaded_rows bigint, n_columns int, status string, matched boolean, error string, "
-    "elapsed_s double, high_water bigint"
+    "elapsed_s double, high_water bigint, unmarked_rows bigint"
 )
 
 
@@ -74,5 +74,18 @@ def last_high_water(spark: SparkSession, namespace: str, table: str) -> int | No
     audit = read_audit(spark, namespace)
     if audit is None:
         return None
-    done = audit.where((F.col("table_name") == table) & (F.col("status") == OK))
-    return done.agg(F.max("high_water")).first()[0]
+    return _done(audit, table).agg(F.max("high_water")).first()[0]
+
+
+def batches_before(spark: SparkSession, namespace: str, table: str, start: int) -> list[str]:
+    """Batches known to hold no row modified at ``start`` or later, or at an unknown time."""
+    audit = read_audit(spark, namespace)
+    if audit is None:
+        return []
+    older = (F.coalesce("high_water", F.lit(start - 1)) < start) & (F.coalesce("unmarked_rows", F.lit(0)) == 0)
+    per_batch = _done(audit, table).groupBy("run_id").agg(F.every(older).alias("older"))
+    return [row["run_id"] for row in per_batch.where("older").collect()]
+
+
+def _done(audit: DataFrame, table: str) -> DataFrame:
+    return audit.where((F.col("table_name") == table) & (F.col("status") == OK))

@@ -15,10 +15,26 @@ from pyspark.sql import DataFrame, SparkSession
 from quayside.contracts import Registry, TableContract
 from quayside.operators.catalog import create_tables, require_table
 from quayside.operators.conform import Run, conform, with_lineage
-from quayside.operators.incremental import changed_since, high_water_mark, not_yet_loaded
+from quayside.operators.incremental import changed_since, high_water_mark, not_yet_loaded, window_start
 from quayside.operators.layout import cluster, file_count
-from quayside.operators.sinks import MODES, Loaded, load, loaded, measured, read_table
-from quayside.plans.audit import DRY_RUN, FAILED, OK, append_audit, audit_frame, last_high_water
+from quayside.operators.sinks import (
+    MODES,
+    Loaded,
+    loaded,
+    measured,
+    publish_batch,
+    read_table,
+    write_batch,
+)
+from quayside.plans.audit import (
+    DRY_RUN,
+    FAILED,
+    OK,
+    append_audit,
+    audit_frame,
+    batches_before,
+    last_high_water,
+)
 from quayside.session import require_session, shared_folder
 from quayside.sources.base import Source
 
@@ -45,7 +61,8 @@ class Ingest:
     """Whole tables of one source into one namespace.
 
     ``mode`` is ``truncate``, ``append`` or ``incremental`` (append what changed
-    since the last load).  A count mismatch is a warning unless ``strict``.
+    since the last load).  A count mismatch is a warning; with ``strict`` it
+    fails the table and leaves it as it was.
     ``concurrency`` tables are loaded at a time; one leaves executors idle while
     small tables load, more share them.
     """
@@ -121,6 +138,7 @@ class Ingest:
             "matched": None,
             "error": None,
             "high_water": None,
+            "unmarked_rows": None,
         }
         started = time.monotonic()
         try:
@@ -152,9 +170,10 @@ class Ingest:
             df = self._laid_out(df, contract, source_rows)
         else:
             df = with_lineage(self._increment(contract, mark), self.run)
-        mode = "append" if self.mode == INCREMENTAL else self.mode
-        done = load(self.spark, df, contract, self.namespace, self.run, mode)
+        done = write_batch(self.spark, df, contract, self.namespace, self.run)
         matched = self._reconciled(contract, source_rows, done) if mark is None else None
+        mode = "append" if self.mode == INCREMENTAL else self.mode
+        publish_batch(self.spark, contract, self.namespace, self.run, mode)
         return {
             "source_rows": source_rows,
             "loaded_rows": done.rows,
@@ -162,6 +181,7 @@ class Ingest:
             "matched": matched,
             "status": OK,
             "high_water": done.high_water,
+            "unmarked_rows": done.unmarked,
         }
 
     def _reconciled(self, contract: TableContract, source_rows: int, done: Loaded) -> bool:
@@ -199,7 +219,8 @@ class Ingest:
         return mark
 
     def _increment(self, contract: TableContract, mark: int) -> DataFrame:
-        window = changed_since(contract, mark, self.overlap)
-        extract = conform(self.source.read_where(contract, window), contract)
-        target = read_table(self.spark, self.namespace, contract)
-        return not_yet_loaded(extract, target, contract, window)
+        start = window_start(mark, self.overlap)
+        extract = conform(self.source.read_since(contract, start), contract)
+        older = batches_before(self.spark, self.namespace, contract.name, start)
+        target = read_table(self.spark, self.namespace, contract, except_batches=older)
+        return not_yet_loaded(extract, target, contract, changed_since(contract, start))

@@ -39,7 +39,7 @@ FIRST = Run(SOURCE_SYSTEM, "00000000-0000-0000-0000-000000000001", datetime(2024
 SECOND = Run(SOURCE_SYSTEM, "00000000-0000-0000-0000-000000000002", datetime(2024, 1, 2, tzinfo=timezone.utc))
 
 #: The first part of an incremental load ends here.
-CUTOFF = datetime(1999, 12, 31)
+CUTOFF = datetime(1999, 12, 31, tzinfo=timezone.utc)
 
 QUERIES: dict[str, Query] = {}
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from quayside.contracts import TableContract
+from quayside.operators.incremental import changed_since
 
 
 class Source:
@@ -34,6 +35,6 @@ class Source:
         """Columns by which ``read``'s partitions are disjoint ranges."""
         return ()
 
-    def read_where(self, contract: TableContract, condition: Column) -> DataFrame:
-        """Rows meeting a condition, which Spark pushes down to the source."""
-        return self.read(contract).where(condition)
+    def read_since(self, contract: TableContract, start: int) -> DataFrame:
+        """Rows changed since an instant in microseconds; Spark pushes the filter down."""
+        return self.read(contract).where(changed_since(contract, start))

@@ -16,6 +16,7 @@ class ParquetSource(Source):
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._counted: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}.parquet"
@@ -25,15 +26,20 @@ class ParquetSource(Source):
         return f"parquet files at {self.root}"
 
     def count(self, table: str) -> int:
-        """Counted from the footers; no column is read."""
+        """Counted from the footers; no column is read.  The next read uses the same files."""
         try:
-            return self.spark.read.parquet(self.path(table)).count()
+            df = self.spark.read.parquet(self.path(table))
         except AnalysisException as error:
             if _no_files(error):
                 return 0
             raise
+        self._counted[table] = df
+        return df.count()
 
     def read(self, contract: TableContract) -> DataFrame:
+        counted = self._counted.pop(contract.name, None)
+        if counted is not None:
+            return counted
         try:
             return self.spark.read.parquet(self.path(contract.name))
         except AnalysisException as error:

@@ -16,12 +16,12 @@ class KeyRange(NamedTuple):
     rows: int
 
 
-def histogram_sql(table: str, key: str, lo: int, hi: int, width: int) -> str:
+def histogram_sql(table: str, key: str, lo: int, hi: int, width: int, window: str = "1 = 1") -> str:
     """Rows and key bounds per equal-width bucket; the source does the counting."""
     return (
         f"SELECT bucket, COUNT(*) AS n_rows, MIN(k) AS lo, MAX(k) AS hi FROM ("
         f"SELECT {key} AS k, FLOOR(({key} - ({lo})) / {width}) AS bucket FROM {table} "
-        f"WHERE {key} >= {lo} AND {key} <= {hi}) b GROUP BY bucket"
+        f"WHERE {key} >= {lo} AND {key} <= {hi} AND {window}) b GROUP BY bucket"
     )
 
 

@@ -1,0 +1,236 @@
+from __future__ import annotations
+
+from dataclasses import replace
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF, run_on
+from quayside.contracts.banking import BANKING
+from quayside.contracts.warehouse import WAREHOUSE
+from quayside.operators.sinks import read_table
+from quayside.plans.audit import batches_before, failed_tables, last_failed, last_high_water, read_audit, totals
+from quayside.plans.banking_shape import banking_frames
+from quayside.plans.job import Ingest, IngestFailed
+from quayside.session import SessionError, engine_session, require_session
+from quayside.sources import FrameSource, ParquetSource
+
+
+@pytest.fixture
+def job(spark, place):
+    return Ingest(spark, ParquetSource(spark, SF), WAREHOUSE, *place, run=run_on(1))
+
+
+def rows(audit):
+    return {r["table_name"]: r for r in audit.collect()}
+
+
+def table(job, name):
+    return read_table(job.spark, job.namespace, job.registry[name])
+
+
+def broken(spark):
+    frames = {c.name: ParquetSource(spark, SF).read(c) for c in WAREHOUSE}
+    frames["orders"] = frames["orders"].withColumn("o_totalprice", F.lit(float("inf")))
+    return FrameSource(frames)
+
+
+def test_a_full_load_copies_every_table(spark, place):
+    frames = banking_frames(spark, SF)
+    job = Ingest(spark, FrameSource(frames), BANKING, *place, run=run_on(1), concurrency=4)
+    found = rows(job.execute())
+    assert list(found) == BANKING.tables
+    for name, row in found.items():
+        assert (row["status"], row["matched"]) == ("OK", True)
+        assert row["source_rows"] == row["loaded_rows"] == frames[name].count() == table(job, name).count()
+        assert row["n_columns"] == len(BANKING[name].columns)
+
+
+def test_one_broken_table_does_not_stop_the_others(spark, job):
+    job = replace(job, source=broken(spark))
+    with pytest.raises(IngestFailed, match="orders") as failure:
+        job.execute(["customer", "orders", "lineitem"])
+    found = rows(failure.value.audit)
+    assert [found[t]["status"] for t in ("customer", "orders", "lineitem")] == ["OK", "FAILED", "OK"]
+    assert found["orders"]["loaded_rows"] is None
+    assert "infinite" in found["orders"]["error"]
+    assert table(job, "lineitem").count() == found["lineitem"]["source_rows"]
+    assert table(job, "orders").count() == 0
+    assert last_failed(spark, job.namespace) == ["orders"]
+    stored = read_audit(spark, job.namespace)
+    assert totals(stored).first().asDict() == {
+        "run_id": "batch-1",
+        "n_tables": 3,
+        "n_ok": 2,
+        "n_failed": 1,
+        "n_rows": found["customer"]["loaded_rows"] + found["lineitem"]["loaded_rows"],
+    }
+    assert failed_tables(stored).first()["failed_tables"] == "orders"
+    mended = replace(job, source=ParquetSource(spark, SF), run=run_on(2))
+    mended.execute(last_failed(spark, job.namespace))
+    assert last_failed(spark, job.namespace) == []
+    assert table(job, "orders").count() > 0
+
+
+def test_an_unknown_table_fails_alone(job):
+    found = rows(job.execute("region, nope", fail=False))
+    assert found["region"]["status"] == "OK"
+    assert found["nope"]["status"] == "FAILED"
+
+
+def test_a_dry_run_writes_nothing_and_tries_every_value(spark, job):
+    found = rows(job.check())
+    assert {r["status"] for r in found.values()} == {"DRY-RUN"}
+    assert all(r["source_rows"] == r["loaded_rows"] for r in found.values())
+    assert not spark.catalog.databaseExists(job.namespace)
+    with pytest.raises(IngestFailed, match="orders"):
+        replace(job, source=broken(spark)).check(["customer", "orders"])
+
+
+def test_tables_made_beforehand(spark, job):
+    assert job.create() == 15
+    found = rows(job.execute(["nation"], create=False))
+    assert found["nation"]["status"] == "OK"
+
+
+def test_without_tables_a_load_fails(job):
+    found = rows(job.execute(["nation"], create=False, fail=False))
+    assert "TableMissing" in found["nation"]["error"]
+
+
+def test_an_unreachable_source_stops_the_run(spark, place):
+    job = Ingest(spark, ParquetSource(spark, "/tmp/no-such-folder"), WAREHOUSE, *place, run=run_on(1))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        job.execute()
+
+
+class Miscounting(ParquetSource):
+    def count(self, table):
+        return super().count(table) + 1
+
+
+def test_a_mismatch_warns_and_strict_runs_refuse_it(spark, job):
+    job.execute(["region"])
+    lax = replace(job, source=Miscounting(spark, SF), run=run_on(2))
+    row = rows(lax.execute(["region"]))["region"]
+    assert (row["status"], row["matched"], row["source_rows"] - row["loaded_rows"]) == ("OK", False, 1)
+    strict = replace(lax, strict=True, run=run_on(3))
+    row = rows(strict.execute(["region"], fail=False))["region"]
+    assert row["status"] == "FAILED"
+    assert "CountMismatch" in row["error"]
+    assert {r[0] for r in table(job, "region").select("_ingestion_batch_id").collect()} == {"batch-2"}
+
+
+def test_append_repeats_the_full_extract(spark, job):
+    append = replace(job, mode="append")
+    append.execute(["region"])
+    replace(append, run=run_on(2)).execute(["region"])
+    assert table(job, "region").groupBy("_ingestion_batch_id").count().select("count").collect() == [(5,), (5,)]
+
+
+def at(seconds):
+    return F.timestamp_seconds(F.lit(seconds))
+
+
+def orders_until(spark, cut, *, ties=True):
+    df = ParquetSource(spark, SF).read(WAREHOUSE["orders"])
+    return df.where(F.col("o_orderdate") <= F.lit(cut)) if ties else df.where(F.col("o_orderdate") < F.lit(cut))
+
+
+def test_increments_load_every_row_once(spark, job):
+    orders = ParquetSource(spark, SF).read(WAREHOUSE["orders"])
+    first = orders.where("o_orderkey < 50")
+    late = orders.where("o_orderkey >= 50")
+    steps = [first, first, first.unionByName(late)]
+    for day, frame in enumerate(steps, 1):
+        step = replace(job, source=FrameSource({"orders": frame}), mode="incremental", run=run_on(day))
+        if day == 3:  # late rows may be older than the mark
+            step = replace(step, overlap=timedelta(days=10_000))
+        step.execute(["orders"])
+    assert table(job, "orders").count() == orders.count()
+    assert table(job, "orders").select("o_orderkey").distinct().count() == orders.count()
+
+
+def test_rows_with_the_time_of_the_mark_are_not_lost(spark, job):
+    base = ParquetSource(spark, SF).read(WAREHOUSE["orders"]).limit(3)
+    same = base.withColumn("o_orderdate", F.lit("2000-01-01").cast("timestamp_ntz"))
+    one, both = same.where("o_orderkey = 0"), same.where("o_orderkey < 2")
+    for day, frame in enumerate((one, both, both), 1):
+        replace(job, source=FrameSource({"orders": frame}), mode="incremental", run=run_on(day)).execute(["orders"])
+    found = table(job, "orders").orderBy("o_orderkey").select("o_orderkey", "_ingestion_batch_id").collect()
+    assert [tuple(r) for r in found] == [(0, "batch-1"), (1, "batch-2")]
+
+
+def test_a_changed_row_is_appended_beside_its_old_version(spark, job):
+    base = ParquetSource(spark, SF).read(WAREHOUSE["orders"]).where("o_orderkey < 2")
+    changed = base.withColumns(
+        {"o_totalprice": F.lit(1.5), "o_orderdate": F.lit("2030-01-01").cast("timestamp_ntz")}
+    )
+    for day, frame in enumerate((base, changed), 1):
+        replace(job, source=FrameSource({"orders": frame}), mode="incremental", run=run_on(day)).execute(["orders"])
+    assert table(job, "orders").count() == 4
+
+
+def test_rows_of_unknown_time_are_loaded_once(spark, job):
+    base = ParquetSource(spark, SF).read(WAREHOUSE["orders"]).where("o_orderkey < 3")
+    unknown = base.withColumn(
+        "o_orderdate", F.when(F.col("o_orderkey") != 1, F.col("o_orderdate"))
+    )
+    for day in (1, 2, 3):
+        replace(job, source=FrameSource({"orders": unknown}), mode="incremental", run=run_on(day)).execute(["orders"])
+    assert table(job, "orders").count() == 3
+
+
+def test_older_batches_are_left_out_of_the_comparison(spark, job):
+    orders = ParquetSource(spark, SF).read(WAREHOUSE["orders"])
+    dates = ["1996-01-01", "1998-01-01", "2030-01-01"]
+    for day, cut in enumerate(dates, 1):
+        known = FrameSource({"orders": orders.where(F.col("o_orderdate") <= cut)})
+        replace(job, source=known, mode="incremental", run=run_on(day)).execute(["orders"])
+    assert table(job, "orders").count() == orders.count()
+    mark = last_high_water(spark, job.namespace, "orders")
+    assert sorted(batches_before(spark, job.namespace, "orders", mark)) == ["batch-1", "batch-2"]
+
+
+def test_a_table_without_a_modified_column_is_loaded_whole(job):
+    first = replace(job, mode="incremental")
+    assert rows(first.execute(["region"]))["region"]["loaded_rows"] == 5
+
+
+class Landing(ParquetSource):
+    land_first = True
+
+
+class Ranged(ParquetSource):
+    def ranged_by(self, contract):
+        return contract.key
+
+
+@pytest.mark.parametrize("kind", [Landing, Ranged, ParquetSource])
+def test_the_way_to_the_layout_does_not_change_the_rows(spark, job, kind):
+    job = replace(job, source=kind(spark, SF))
+    job.execute(["customer", "orders"])
+    plain = ParquetSource(spark, SF)
+    for name in ("customer", "orders"):
+        keys = WAREHOUSE[name].key
+        assert table(job, name).select(*keys).exceptAll(plain.read(WAREHOUSE[name]).select(*keys)).isEmpty()
+        assert table(job, name).count() == plain.count(name)
+
+
+def test_bad_mode(spark, place):
+    with pytest.raises(ValueError, match="mode"):
+        Ingest(spark, ParquetSource(spark, SF), WAREHOUSE, *place, mode="upsert")
+
+
+def test_session_settings_are_checked_and_a_sibling_made(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    other.conf.set("spark.sql.shuffle.partitions", "3")
+    with pytest.raises(SessionError, match="timeZone"):
+        require_session(other)
+    sibling = engine_session(other)
+    require_session(sibling)
+    assert sibling.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert other.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    assert engine_session(spark) is spark
