@@ -99,6 +99,9 @@ class TableContract:
         if len(names) != len(self.columns) or used - names:
             raise ContractError(f"{self.name}: repeated or unknown columns {sorted(used - names)}")
 
+    def __getitem__(self, name: str) -> Column:
+        return next(c for c in self.columns if c.name == name)
+
     @property
     def column_names(self) -> list[str]:
         return [c.name for c in self.columns]

@@ -7,9 +7,10 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.contracts import Column as ContractColumn
 from quayside.contracts import ContractError, TableContract
 from quayside.functions.coerce import coerce
 
@@ -36,14 +37,18 @@ def conform(df: DataFrame, contract: TableContract) -> DataFrame:
     check_columns(df.columns, contract)
     return df.select(
         [
-            coerce(df[f"`{c.name}`"], df.schema[c.name].dataType, c.type, f"{contract.name}.{c.name}").alias(
-                c.name, metadata={"comment": contract.comment_of(c)}
-            )
+            conformed(df, contract, c).alias(c.name, metadata={"comment": contract.comment_of(c)})
             for c in contract.columns
         ]
     )
 
 
+def conformed(df: DataFrame, contract: TableContract, column: ContractColumn) -> Column:
+    """One column of a source frame in its contract's type."""
+    kind = df.schema[column.name].dataType
+    return coerce(df[f"`{column.name}`"], kind, column.type, f"{contract.name}.{column.name}")
+
+
 @dataclass(frozen=True)
 class Run:
     """Identity of a run: one id and one instant for all its tables."""

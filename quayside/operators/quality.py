@@ -42,12 +42,17 @@ def orphans(frames: Mapping[str, DataFrame], registry: Registry, tables: list[st
     Each reference reads one column, and counts its values before the join, so
     a value held by very many rows is one row of it.
     """
-    checks = [
-        _orphans_of(frames[name], frames[ref.parent], name, ref)
-        for name in (tables or registry.tables)
-        for ref in registry[name].references
-    ]
-    return reduce(DataFrame.unionByName, checks)
+    edges = [(name, ref) for name in (tables or registry.tables) for ref in registry[name].references]
+    found = [_orphans_of(frames[name], frames[ref.parent], name, ref) for name, ref in edges]
+    # A row without a value for each reference, so that those without orphans are listed too.
+    listed = found[0].sparkSession.createDataFrame(
+        [(name, ref.column, ref.parent, None) for name, ref in edges], found[0].schema
+    )
+    return (
+        reduce(DataFrame.unionByName, [listed, *found])
+        .groupBy("table_name", "column_name", "parent")
+        .agg(F.count("n").alias("n_values"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+    )
 
 
 def _orphans_of(child, parent, name, ref):
@@ -58,14 +63,9 @@ def _orphans_of(child, parent, name, ref):
         .agg(F.count(F.lit(1)).alias("n"))
     )
     known = parent.select(F.col(ref.parent_column).alias("value"))
-    return (
-        values.join(known, "value", "left_anti")
-        .agg(F.count(F.lit(1)).alias("n_values"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
-        .select(
-            F.lit(name).alias("table_name"),
-            F.lit(ref.column).alias("column_name"),
-            F.lit(ref.parent).alias("parent"),
-            "n_values",
-            "n_rows",
-        )
+    return values.join(known, "value", "left_anti").select(
+        F.lit(name).alias("table_name"),
+        F.lit(ref.column).alias("column_name"),
+        F.lit(ref.parent).alias("parent"),
+        F.when(F.col("n") > 0, F.col("n")).alias("n"),
     )

@@ -13,10 +13,10 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.contracts import Registry, TableContract
-from quayside.operators.catalog import create_tables, require_table
-from quayside.operators.conform import Run, conform, with_lineage
+from quayside.operators.catalog import create_tables, require_table, table_name
+from quayside.operators.conform import Run, check_columns, conform, conformed, with_lineage
 from quayside.operators.incremental import changed_since, high_water_mark, not_yet_loaded, window_start
-from quayside.operators.layout import cluster, file_count
+from quayside.operators.layout import file_count, spread
 from quayside.operators.sinks import (
     MODES,
     Loaded,
@@ -35,7 +35,7 @@ from quayside.plans.audit import (
     batches_before,
     last_high_water,
 )
-from quayside.session import require_session, shared_folder
+from quayside.session import require_session
 from quayside.sources.base import Source
 
 log = logging.getLogger(__name__)
@@ -165,12 +165,13 @@ class Ingest:
         require_table(self.spark, self.namespace, contract.name)
         source_rows = self.source.count(contract.name)
         mark = self._mark(contract)
-        if mark is None:
-            df = with_lineage(conform(self.source.read(contract), contract), self.run)
-            df = self._laid_out(df, contract, source_rows)
-        else:
-            df = with_lineage(self._increment(contract, mark), self.run)
-        done = write_batch(self.spark, df, contract, self.namespace, self.run)
+        try:
+            df = self._full(contract, source_rows) if mark is None else self._increment(contract, mark)
+            if contract.cluster:
+                df = df.sortWithinPartitions(*contract.cluster)
+            done = write_batch(self.spark, df, contract, self.namespace, self.run)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._landing(contract)}")
         matched = self._reconciled(contract, source_rows, done) if mark is None else None
         mode = "append" if self.mode == INCREMENTAL else self.mode
         publish_batch(self.spark, contract, self.namespace, self.run, mode)
@@ -193,21 +194,30 @@ class Ingest:
         log.warning(told)
         return False
 
-    def _laid_out(self, df: DataFrame, contract: TableContract, rows: int) -> DataFrame:
+    def _full(self, contract: TableContract, rows: int) -> DataFrame:
+        """The whole table, stamped; one range of its cluster keys per task if it has any."""
+        raw = self.source.read(contract)
         keys = contract.cluster
-        if not keys:
-            return df
-        if keys == self.source.ranged_by(contract):
-            return df.sortWithinPartitions(*keys)  # already one key range per task
-        if self.source.land_first:
-            df = self._landed(df, contract)
-        files = self.cluster_files or file_count(contract, rows, self.source.size_bytes(contract.name))
-        return cluster(df, keys, files)
+        if keys and keys != self.source.ranged_by(contract):
+            check_columns(raw.columns, contract)
+            if self.source.land_first:
+                raw = self._landed(raw, contract)
+            typed = [conformed(raw, contract, contract[k]) for k in keys]
+            raw = spread(raw, typed, self.cluster_files or self._file_count(contract, rows))
+        return with_lineage(conform(raw, contract), self.run)
+
+    def _file_count(self, contract: TableContract, rows: int) -> int:
+        cores = self.spark.sparkContext.defaultParallelism
+        return file_count(contract, rows, self.source.size_bytes(contract.name), cores)
 
     def _landed(self, df: DataFrame, contract: TableContract) -> DataFrame:
-        folder = f"{shared_folder(self.spark)}/landed/{self.run.run_id}/{contract.name}"
-        df.write.mode("overwrite").parquet(folder)
-        return self.spark.read.schema(df.schema).parquet(folder)
+        """The rows as read, in a table of the namespace that goes when the load ends."""
+        name = self._landing(contract)
+        df.write.format("parquet").saveAsTable(name)
+        return self.spark.table(name)
+
+    def _landing(self, contract: TableContract) -> str:
+        return table_name(self.namespace, f"{contract.name}__landed_{self.run.run_id}".replace("-", "_"))
 
     def _mark(self, contract: TableContract) -> int | None:
         """Where the last load ended; None asks for a full load."""
@@ -223,4 +233,5 @@ class Ingest:
         extract = conform(self.source.read_since(contract, start), contract)
         older = batches_before(self.spark, self.namespace, contract.name, start)
         target = read_table(self.spark, self.namespace, contract, except_batches=older)
-        return not_yet_loaded(extract, target, contract, changed_since(contract, start))
+        fresh = not_yet_loaded(extract, target, contract, changed_since(contract, start))
+        return with_lineage(fresh, self.run)

@@ -98,8 +98,4 @@ class JdbcSource(Source):
 
 
 def _whole_number_key(contract: TableContract) -> str | None:
-    by_name = {c.name: c for c in contract.columns}
-    for name in contract.key:
-        if isinstance(by_name[name].type, T.LongType):
-            return name
-    return None
+    return next((k for k in contract.key if isinstance(contract[k].type, T.LongType)), None)

@@ -234,3 +234,8 @@ def test_session_settings_are_checked_and_a_sibling_made(spark):
     assert sibling.conf.get("spark.sql.shuffle.partitions") == "3"
     assert other.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
     assert engine_session(spark) is spark
+
+
+def test_landing_tables_go_when_the_load_ends(spark, job):
+    replace(job, source=Landing(spark, SF)).execute(["orders"])
+    assert not [t for t in spark.catalog.listTables(job.namespace) if "landed" in t.name]

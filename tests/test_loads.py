@@ -160,6 +160,8 @@ def test_file_count_follows_the_size():
     assert file_count(ITEMS, 10, 10 * 1024**3) == 20
     assert file_count(ITEMS, 10**9, None) == 45
     assert file_count(ITEMS, 10, 10**17) == MAX_FILES
+    assert file_count(ITEMS, 600_000, 10**7, cores=8) == 6
+    assert file_count(ITEMS, 10**8, 10**9, cores=8000) == 16
 
 
 def test_unclustered_tables_are_not_shuffled(spark):

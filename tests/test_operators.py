@@ -88,7 +88,7 @@ def test_orphans_count_a_hot_value_before_a_large_join(spark):
         found = quality.orphans({"accounts": hot, "customers": customers}, PACK)
         text = plan(found)
         assert "CartesianProduct" not in text and "NestedLoop" not in text
-        assert text.index("LeftAnti") < text.index("partial_count(1)], output" if "], output" in text else "partial_count(1)")
+        assert text.index("LeftAnti") < text.index("partial_count(1)")
         wanted = hot.where("customer_id = -1 OR customer_id >= 5000")
         row = found.first()
         assert (row["n_values"], row["n_rows"]) == (wanted.select("customer_id").distinct().count(), wanted.count())
