@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quayside.contracts import LINEAGE, TableContract
 from quayside.operators.catalog import require_table, table_location
 from quayside.operators.conform import Run
+from quayside.session import timestamps_with_statistics
 
 MODES = ("truncate", "append")
 
@@ -53,7 +54,8 @@ def load(
     mode: str = "truncate",
 ) -> Loaded:
     """Write a stamped frame as one batch and make it part of the table."""
-    written = write_batch(spark, df, contract, namespace, run)
+    with timestamps_with_statistics(spark):
+        written = write_batch(spark, df, contract, namespace, run)
     publish_batch(spark, contract, namespace, run, mode)
     return written
 

@@ -35,7 +35,7 @@ from quayside.plans.audit import (
     batches_before,
     last_high_water,
 )
-from quayside.session import require_session
+from quayside.session import require_session, timestamps_with_statistics
 from quayside.sources.base import Source
 
 log = logging.getLogger(__name__)
@@ -102,7 +102,8 @@ class Ingest:
         if create:
             self.create()
         log.info("source: %s", self.source.probe())
-        rows = self._each(tables, self._load_table)
+        with timestamps_with_statistics(self.spark):
+            rows = self._each(tables, self._load_table)
         append_audit(self.spark, self.namespace, audit_frame(self.spark, rows))
         return self._finish(rows, fail)
 

@@ -186,7 +186,8 @@ def oracles() -> dict[str, str]:
             ]
         ),
         "run_totals": f"""
-            SELECT '{FIRST.run_id}' AS run_id, 4 AS n_tables, 2 AS n_ok, 2 AS n_failed,
+            SELECT '{FIRST.run_id}' AS run_id, CAST(4 AS BIGINT) AS n_tables, CAST(2 AS BIGINT) AS n_ok,
+                   CAST(2 AS BIGINT) AS n_failed,
                    (SELECT count(*) FROM customer) + (SELECT count(*) FROM lineitem) AS n_rows,
                    'orders,no_such_table' AS failed_tables""",
         "rerun_failed": f"""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -57,6 +59,24 @@ def engine_session(spark: SparkSession) -> SparkSession:
     return sibling
 
 
+@contextmanager
+def timestamps_with_statistics(spark: SparkSession) -> Iterator[None]:
+    """Write timestamps in the parquet type that has min and max per row group.
+
+    Spark's default type has none, so no file could be skipped by a time.
+    """
+    name = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, named by ``spark.checkpoint.dir``.
 

@@ -10,6 +10,16 @@ from pathlib import Path
 import duckdb
 
 
+_KINDS = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "VARCHAR": "string",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for path in Path(sf_dir).glob("*.parquet"):
@@ -37,6 +47,10 @@ def difference(df, connection, sql: str) -> str | None:
     names = [d[0] for d in found.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
+    kinds = {d[0]: _KINDS.get(str(d[1]), str(d[1])) for d in found.description}
+    other = {n: (k, kinds[n]) for n, k in df.dtypes if k != kinds[n]}
+    if other:
+        return f"types {other}"
     ours, theirs = _bag(df.columns, rows), _bag(names, found.fetchall())
     if ours == theirs:
         return None if ours else "no row to compare"

@@ -3,6 +3,7 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,3 +240,21 @@ def test_session_settings_are_checked_and_a_sibling_made(spark):
 def test_landing_tables_go_when_the_load_ends(spark, job):
     replace(job, source=Landing(spark, SF)).execute(["orders"])
     assert not [t for t in spark.catalog.listTables(job.namespace) if "landed" in t.name]
+
+
+def test_loaded_files_are_sorted_and_can_be_skipped_by_key_and_by_time(spark, job):
+    """Footers of a clustered table: key ranges do not overlap, and times have a min and a max."""
+    replace(job, cluster_files=4).execute(["orders"])
+    ranges = []
+    for file in table(job, "orders").inputFiles():
+        meta = pq.ParquetFile(file.removeprefix("file://")).metadata
+        kept = {c.path_in_schema: c.statistics for c in map(meta.row_group(0).column, range(meta.num_columns))}
+        assert kept["o_orderdate"].has_min_max
+        ranges.append((kept["o_custkey"].min, kept["o_custkey"].max))
+        keys = pq.read_table(file.removeprefix("file://"), columns=["o_custkey"])["o_custkey"].to_pylist()
+        assert keys == sorted(keys)
+    assert len(ranges) == 4
+    assert all(a[1] <= b[0] for a, b in zip(sorted(ranges), sorted(ranges)[1:]))
+    late = table(job, "orders").where("o_orderdate > timestamp'2000-01-01'")
+    assert "GreaterThan(o_orderdate" in late._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType", None) is None
