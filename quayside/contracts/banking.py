@@ -1,4 +1,4 @@
-"""Contracts of the eleven core banking tables, in load order."""
+"""Contracts of the eleven banking tables, in load order."""
 
 from __future__ import annotations
 

@@ -21,13 +21,8 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "left") -> Data
 
 
 def hot_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """Keys that hold more than ``limit`` rows, counted map-side first."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > limit)
-        .select(*keys)
-    )
+    """Keys that hold more than ``limit`` rows, and ``n_rows``; counted map-side first."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > limit)
 
 
 def same_row(left: DataFrame, right: DataFrame, names: list[str]):

@@ -25,12 +25,18 @@ def chain_breaks(events: DataFrame, events_per_task: int = EVENTS_PER_TASK) -> D
     events than one task should walk are cut into ranges of time.
     """
     hot = hot_keys(events, [_KEY], events_per_task)
-    if hot.isEmpty():
+    in_hot = hot.agg(F.sum("n_rows")).first()[0]
+    if in_hot is None:
         chained = _with_previous(events)
     else:
-        short = _with_previous(events.join(hot, _KEY, "left_anti"))
-        long = _with_previous_by_ranges(events.join(hot, _KEY, "left_semi"), events_per_task)
-        chained = short.unionByName(long)
+        # Written once: the keys are few, and their files tell Spark so.
+        folder = f"{shared_folder(events.sparkSession)}/history-{uuid.uuid4()}"
+        hot.select(F.col(_KEY).alias("_hot")).write.parquet(f"{folder}/keys")
+        keys = events.sparkSession.read.parquet(f"{folder}/keys")
+        is_hot = events[_KEY].eqNullSafe(keys["_hot"])
+        ranges = 2 * math.ceil(in_hot / events_per_task)
+        long = _with_previous_by_ranges(events.join(keys, is_hot, "left_semi"), ranges, f"{folder}/ranges")
+        chained = long.unionByName(_with_previous(events.join(keys, is_hot, "left_anti")))
     broken = chained.where(~F.col("old_status").eqNullSafe(F.col("expected_status")))
     return broken.select(*events.columns, "expected_status")
 
@@ -40,15 +46,12 @@ def _with_previous(events: DataFrame) -> DataFrame:
     return events.withColumn("expected_status", F.lag("new_status").over(walk))
 
 
-def _with_previous_by_ranges(events: DataFrame, events_per_task: int) -> DataFrame:
+def _with_previous_by_ranges(events: DataFrame, ranges: int, folder: str) -> DataFrame:
     """The same, one task per range of (transaction, time) and the ends joined.
 
     The ranges are written down: range bounds are sampled, and both uses of
     them below must see the same ones, also after a lost task ran again.
     """
-    spark = events.sparkSession
-    folder = f"{shared_folder(spark)}/history-{uuid.uuid4()}"
-    ranges = math.ceil(events.count() / events_per_task)
     (
         events.withColumn("_split", F.spark_partition_id())
         .repartitionByRange(ranges, _KEY, *_ORDER, "_split")
@@ -56,18 +59,15 @@ def _with_previous_by_ranges(events: DataFrame, events_per_task: int) -> DataFra
         .withColumn("_range", F.spark_partition_id())
         .write.parquet(folder)
     )
-    placed = spark.read.parquet(folder)
+    placed = events.sparkSession.read.parquet(folder)
 
     walk = Window.partitionBy("_range", _KEY).orderBy(*_ORDER)
-    last = placed.groupBy("_range", _KEY).agg(
-        F.max_by("new_status", F.struct(*_ORDER)).alias("_last")
-    )
-    before = last.withColumn("_before", F.lag("_last").over(Window.partitionBy(_KEY).orderBy("_range")))
-    return (
-        placed.withColumns(
-            {"_previous": F.lag("new_status").over(walk), "_place": F.row_number().over(walk)}
-        )
-        .join(before.select("_range", _KEY, "_before"), ["_range", _KEY])
-        .withColumn("expected_status", F.when(F.col("_place") == 1, F.col("_before")).otherwise(F.col("_previous")))
-        .select(*events.columns, "expected_status")
+    walked = placed.withColumns({"_previous": F.lag("new_status").over(walk), "_place": F.row_number().over(walk)})
+    last = placed.groupBy("_range", _KEY).agg(F.max_by("new_status", F.struct(*_ORDER)).alias("_last"))
+    earlier = Window.partitionBy(_KEY).orderBy("_range")
+    before = last.select(
+        F.col("_range").alias("_at"), F.col(_KEY).alias("_of"), F.lag("_last").over(earlier).alias("_before")
     )
+    same = (walked["_range"] == before["_at"]) & walked[_KEY].eqNullSafe(before["_of"])
+    first_or_previous = F.when(F.col("_place") == 1, F.col("_before")).otherwise(F.col("_previous"))
+    return walked.join(before, same).select(*events.columns, first_or_previous.alias("expected_status"))

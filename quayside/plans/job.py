@@ -90,7 +90,7 @@ class Ingest:
 
     def check(self, tables: str | list[str] | None = None, *, fail: bool = True) -> DataFrame:
         """Dry run: every table is read and conformed, nothing is created or written."""
-        log.info("source: %s", self.source.probe())
+        log.info("source: %s", self.source.probe(self.registry.select(tables)))
         return self._finish(self._each(tables, self._check_table), fail)
 
     def execute(self, tables: str | list[str] | None = None, *, create: bool = True, fail: bool = True) -> DataFrame:
@@ -101,7 +101,7 @@ class Ingest:
         """
         if create:
             self.create()
-        log.info("source: %s", self.source.probe())
+        log.info("source: %s", self.source.probe(self.registry.select(tables)))
         with timestamps_with_statistics(self.spark):
             rows = self._each(tables, self._load_table)
         append_audit(self.spark, self.namespace, audit_frame(self.spark, rows))

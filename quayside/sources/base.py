@@ -16,8 +16,8 @@ class Source:
     #: such a source are landed unclustered first.
     land_first = False
 
-    def probe(self) -> str:
-        """Fail when the source cannot be reached; else say what answered."""
+    def probe(self, tables: list[str]) -> str:
+        """Fail when the source of these tables cannot be reached; else say what answered."""
         raise NotImplementedError
 
     def count(self, table: str) -> int:

@@ -21,7 +21,7 @@ class FrameSource(Source):
             raise ContractError(f"the source has no table {table!r}")
         return self.frames[table]
 
-    def probe(self) -> str:
+    def probe(self, tables: list[str]) -> str:
         return f"{len(self.frames)} frames"
 
     def count(self, table: str) -> int:

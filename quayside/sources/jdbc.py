@@ -47,7 +47,7 @@ class JdbcSource(Source):
     def address(self, table: str) -> str:
         return f"{self.schema}.{self.registry[table].name}"
 
-    def probe(self) -> str:
+    def probe(self, tables: list[str]) -> str:
         self.query("SELECT 1 AS ok").first()
         return f"JDBC database, schema {self.schema}"
 

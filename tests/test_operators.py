@@ -149,6 +149,15 @@ def test_copies_of_an_event_survive_the_cut(spark):
     assert bag(chain_breaks(copied, events_per_task=5)) == bag(chain_breaks(copied))
 
 
+def test_events_of_no_transaction_are_cut_too(spark):
+    events = history(spark, 90).withColumn(
+        "transaction_id", F.when(F.col("transaction_id") != 0, F.col("transaction_id"))
+    )
+    whole = chain_breaks(events)
+    assert not whole.where("transaction_id IS NULL").isEmpty()
+    assert bag(chain_breaks(events, events_per_task=7)) == bag(whole)
+
+
 def test_amounts_round_to_their_currency(spark):
     df = spark.createDataFrame(
         [(1, "VND", Decimal("10.50")), (2, "USD", Decimal("10.55")), (3, "KWD", Decimal("10.55")), (4, "JPX", Decimal("-2.50")), (5, None, Decimal("1.23")), (6, "ONE", Decimal("1.25")), (7, "VND", None)],

@@ -4,6 +4,7 @@ import uuid
 from functools import reduce
 
 import pytest
+from pyspark.errors import AnalysisException
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import DataFrame
@@ -86,7 +87,7 @@ def test_a_large_table_without_a_numeric_key_is_refused(spark, database):
 def test_counts_and_probe(spark, database):
     jdbc = source(spark, database)
     assert jdbc.count("items") == 1505
-    assert database in jdbc.probe()
+    assert database in jdbc.probe(["items"])
     with pytest.raises(ContractError):
         jdbc.count("items; DROP TABLE items")
 
@@ -186,7 +187,9 @@ def test_parquet_counts_and_sizes(spark):
     files = ParquetSource(spark, SF)
     assert files.count("orders") == spark.read.parquet(f"{SF}/orders.parquet").count()
     assert files.size_bytes("orders") > 0
-    assert SF in files.probe()
+    assert SF in files.probe(["no_such_table", "orders"])
+    with pytest.raises(AnalysisException):
+        files.probe(["no_such_table"])
 
 
 def test_an_empty_folder_is_a_typed_table_without_rows(spark, place, tmp_path):
