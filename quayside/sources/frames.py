@@ -11,10 +11,15 @@ from quayside.sources.base import Source
 
 
 class FrameSource(Source):
-    """Frames by table name, such as views over another system's tables."""
+    """Frames by table name, such as views over another system's tables.
 
-    def __init__(self, frames: Mapping[str, DataFrame]):
+    ``land_first`` keeps a costly frame from being computed again for the
+    sample its range shuffle needs.
+    """
+
+    def __init__(self, frames: Mapping[str, DataFrame], *, land_first: bool = False):
         self.frames = dict(frames)
+        self.land_first = land_first
 
     def _frame(self, table: str) -> DataFrame:
         if table not in self.frames:
