@@ -130,6 +130,7 @@ def oracles() -> dict[str, str]:
                                  CAST(ceil((max(o_orderkey) - min(o_orderkey) + 1) / 16.0) AS BIGINT) AS width
                           FROM orders) b
             GROUP BY 1""",
+        "scan_ranges": "SELECT 1 AS statements, count(*) AS n_rows FROM lineitem",
         "source_counts": _counts(WAREHOUSE.tables),
         "empty_batch_append": f"""
             SELECT '{FIRST.run_id}' AS run_id, count(*) AS loaded_rows, 6 AS n_columns, 'OK' AS status,

@@ -30,7 +30,14 @@ from quayside.plans.job import Ingest
 from quayside.session import engine_session, shared_folder
 from quayside.sources import FrameSource, ParquetSource
 from quayside.sources.base import Source
-from quayside.sources.ranges import bucket_width, histogram_sql
+from quayside.sources.ranges import (
+    KeyRange,
+    bucket_width,
+    histogram_of,
+    histogram_sql,
+    range_predicates,
+    split_ranges,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,10 +110,19 @@ def scan_full(spark, sf_dir):
 def scan_range_plan(spark, sf_dir):
     """The row counts by which a key is cut into ranges for a parallel read."""
     orders = ParquetSource(spark, sf_dir).read(WAREHOUSE["orders"])
-    view = f"orders_{uuid.uuid4().hex}"
-    orders.createOrReplaceTempView(view)
     lo, hi = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
-    return spark.sql(histogram_sql(view, "o_orderkey", lo, hi, bucket_width(lo, hi, 16)))
+    return spark.sql(histogram_sql("{orders}", "o_orderkey", lo, hi, bucket_width(lo, hi, 16)), orders=orders)
+
+
+@query
+def scan_ranges(spark, sf_dir):
+    """Each row is read by exactly one of the statements of a parallel read."""
+    lineitem = ParquetSource(spark, sf_dir).read(WAREHOUSE["lineitem"])
+    whole = KeyRange(*lineitem.agg(F.min("l_orderkey"), F.max("l_orderkey"), F.count(F.lit(1))).first())
+    histogram = histogram_of(partial(spark.sql, lineitem=lineitem), "{lineitem}", "l_orderkey")
+    statements = range_predicates("l_orderkey", split_ranges(histogram, whole, -(-whole.rows // 16)))
+    hits = [F.coalesce(F.expr(p).cast("int"), F.lit(0)) for p in statements]
+    return lineitem.groupBy(sum(hits, F.lit(0)).alias("statements")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query

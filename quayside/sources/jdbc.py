@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from quayside.contracts import ContractError, Registry, TableContract
 from quayside.operators.incremental import changed_since
 from quayside.sources.base import Source
-from quayside.sources.ranges import KeyRange, histogram_sql, range_predicates, split_ranges
+from quayside.sources.ranges import KeyRange, histogram_of, range_predicates, split_ranges
 
 
 class JdbcSource(Source):
@@ -87,14 +87,10 @@ class JdbcSource(Source):
         if key is None:
             raise ContractError(f"{contract.name}: {rows} rows and no whole-number key to read ranges of")
 
-        def histogram(lo: int, hi: int, width: int) -> list[KeyRange]:
-            found = self.query(histogram_sql(address, key, lo, hi, width, window)).collect()
-            return [KeyRange(int(r["lo"]), int(r["hi"]), int(r["n_rows"])) for r in found]
-
         bounds = self.query(f"SELECT MIN({key}) AS lo, MAX({key}) AS hi {counted}").first()
         whole = KeyRange(int(bounds["lo"]), int(bounds["hi"]), rows)
         per_range = max(self.rows_per_range, math.ceil(rows / self.max_connections))
-        return range_predicates(key, split_ranges(histogram, whole, per_range))
+        return range_predicates(key, split_ranges(histogram_of(self.query, address, key, window), whole, per_range))
 
 
 def _whole_number_key(contract: TableContract) -> str | None:

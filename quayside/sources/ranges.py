@@ -6,6 +6,8 @@ import math
 from collections.abc import Callable
 from typing import NamedTuple
 
+from pyspark.sql import DataFrame
+
 #: Buckets asked for in one histogram; bounds what reaches the driver.
 MAX_BUCKETS = 1024
 
@@ -25,6 +27,18 @@ def histogram_sql(table: str, key: str, lo: int, hi: int, width: int, window: st
     )
 
 
+def histogram_of(
+    run: Callable[[str], DataFrame], table: str, key: str, window: str = "1 = 1"
+) -> Callable[[int, int, int], list[KeyRange]]:
+    """The histograms of one table, by whatever runs SQL on it."""
+
+    def histogram(lo: int, hi: int, width: int) -> list[KeyRange]:
+        found = run(histogram_sql(table, key, lo, hi, width, window)).collect()
+        return [KeyRange(int(r["lo"]), int(r["hi"]), int(r["n_rows"])) for r in found]
+
+    return histogram
+
+
 def bucket_width(lo: int, hi: int, buckets: int) -> int:
     return max(1, math.ceil((hi - lo + 1) / buckets))
 
