@@ -33,6 +33,11 @@ def file_count(contract: TableContract, rows: int, size_bytes: int | None, cores
     return max(1, min(MAX_FILES, max(by_size, by_cores)))
 
 
+def scan_bytes(df: DataFrame) -> int:
+    """Bytes of the files a plain scan reads, from the listing Spark already has."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame, keys: list[Column], files: int) -> DataFrame:
     """Range-partition by the keys, one partition per file to be written.
 

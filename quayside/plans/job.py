@@ -16,7 +16,7 @@ from quayside.contracts import Registry, TableContract
 from quayside.operators.catalog import create_tables, require_table, table_name
 from quayside.operators.conform import Run, check_columns, conform, conformed, with_lineage
 from quayside.operators.incremental import changed_since, high_water_mark, not_yet_loaded, window_start
-from quayside.operators.layout import file_count, spread
+from quayside.operators.layout import file_count, scan_bytes, spread
 from quayside.operators.sinks import (
     MODES,
     Loaded,
@@ -203,14 +203,14 @@ class Ingest:
             check_columns(raw.columns, contract)
             if self.source.land_first:
                 raw = self._landed(raw, contract)
-            typed = [conformed(raw, contract, contract[k]) for k in keys]
-            raw = spread(raw, typed, self.cluster_files or self._file_count(contract, rows))
+                size = scan_bytes(raw)
+            else:
+                size = self.source.size_bytes(raw)
+            cores = self.spark.sparkContext.defaultParallelism
+            files = self.cluster_files or file_count(contract, rows, size, cores)
+            raw = spread(raw, [conformed(raw, contract, contract[k]) for k in keys], files)
         return with_lineage(conform(raw, contract), self.run)
 
-    def _file_count(self, contract: TableContract, rows: int) -> int:
-        cores = self.spark.sparkContext.defaultParallelism
-        return file_count(contract, rows, self.source.size_bytes(contract.name), cores)
-
     def _landed(self, df: DataFrame, contract: TableContract) -> DataFrame:
         """The rows as read, in a table of the namespace that goes when the load ends."""
         name = self._landing(contract)

@@ -27,8 +27,8 @@ class Source:
         """All rows, all columns; 0 rows still have the contract's columns."""
         raise NotImplementedError
 
-    def size_bytes(self, table: str) -> int | None:
-        """Stored size if the source knows it."""
+    def size_bytes(self, df: DataFrame) -> int | None:
+        """Stored size of a table that was read, if the source knows it."""
         return None
 
     def ranged_by(self, contract: TableContract) -> tuple[str, ...]:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quayside.contracts import TableContract
+from quayside.operators.layout import scan_bytes
 from quayside.sources.base import Source
 
 
@@ -58,10 +58,8 @@ class ParquetSource(Source):
                 return self.spark.createDataFrame([], contract.schema)
             raise
 
-    def size_bytes(self, table: str) -> int:
-        """Sum of the file lengths; the listing is read, not the files."""
-        files = self.spark.read.format("binaryFile").load(self.path(table))
-        return files.agg(F.sum("length")).first()[0] or 0
+    def size_bytes(self, df: DataFrame) -> int:
+        return scan_bytes(df)
 
 
 def _no_files(error: AnalysisException) -> bool:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import SF, run_on
 from quayside.contracts.banking import BANKING
 from quayside.contracts.warehouse import WAREHOUSE
+from quayside.operators.layout import scan_bytes
 from quayside.operators.sinks import read_table
 from quayside.plans.audit import batches_before, failed_tables, last_failed, last_high_water, read_audit, totals
 from quayside.plans.banking_shape import banking_frames
@@ -258,3 +259,10 @@ def test_loaded_files_are_sorted_and_can_be_skipped_by_key_and_by_time(spark, jo
     late = table(job, "orders").where("o_orderdate > timestamp'2000-01-01'")
     assert "GreaterThan(o_orderdate" in late._jdf.queryExecution().executedPlan().toString()
     assert spark.conf.get("spark.sql.parquet.outputTimestampType", None) is None
+
+
+def test_a_landed_table_knows_its_size(spark, place):
+    spark.sql(f"CREATE DATABASE {place[0]} LOCATION '{place[1]}'")
+    ParquetSource(spark, SF).read(WAREHOUSE["orders"]).write.format("parquet").saveAsTable(f"{place[0]}.landed")
+    size = scan_bytes(spark.table(f"{place[0]}.landed"))
+    assert 10_000 < size < 100_000
