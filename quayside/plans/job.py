@@ -78,6 +78,7 @@ class Ingest:
     overlap: timedelta = timedelta(0)
     cluster_files: int | None = None
     run: Run = field(default_factory=lambda: Run("source"))
+    _executed: bool = field(default=False, init=False, repr=False)
 
     def __post_init__(self) -> None:
         if self.mode not in (*MODES, INCREMENTAL):
@@ -97,8 +98,11 @@ class Ingest:
         """Load the tables and return the audit, after appending it to the audit table.
 
         A table that fails does not stop the others; with ``fail`` the job
-        raises at its end if any did.
+        raises at its end if any did.  Executing again is a new run.
         """
+        if self._executed:
+            self.run = Run(self.run.source_system)
+        self._executed = True
         if create:
             self.create()
         log.info("source: %s", self.source.probe(self.registry.select(tables)))

@@ -68,8 +68,7 @@ class JdbcSource(Source):
         return scanned.where(changed_since(contract, start))
 
     def ranged_by(self, contract: TableContract) -> tuple[str, ...]:
-        key = _whole_number_key(contract)
-        return (key,) if key else ()
+        return tuple(_whole_number_keys(contract)[:1])
 
     def query(self, sql: str) -> DataFrame:
         reader = self.spark.read.format("jdbc").option("url", self.url).options(**self.properties)
@@ -79,19 +78,32 @@ class JdbcSource(Source):
         return self.spark.read.jdbc(self.url, address, predicates=predicates, properties=self.properties)
 
     def _predicates(self, contract: TableContract, window: str) -> list[str]:
-        address, key = self.address(contract.name), _whole_number_key(contract)
-        counted = f"FROM {address} WHERE {window}"
-        rows = int(self.query(f"SELECT COUNT(*) AS n {counted}").first()["n"])
+        address, keys = self.address(contract.name), _whole_number_keys(contract)
+        rows = int(self.query(f"SELECT COUNT(*) AS n FROM {address} WHERE {window}").first()["n"])
         if rows <= self.rows_per_range:
             return ["1 = 1"]
-        if key is None:
+        if not keys:
             raise ContractError(f"{contract.name}: {rows} rows and no whole-number key to read ranges of")
-
-        bounds = self.query(f"SELECT MIN({key}) AS lo, MAX({key}) AS hi {counted}").first()
-        whole = KeyRange(int(bounds["lo"]), int(bounds["hi"]), rows)
-        per_range = max(self.rows_per_range, math.ceil(rows / self.max_connections))
-        return range_predicates(key, split_ranges(histogram_of(self.query, address, key, window), whole, per_range))
-
-
-def _whole_number_key(contract: TableContract) -> str | None:
-    return next((k for k in contract.key if isinstance(contract[k].type, T.LongType)), None)
+        return self._ranges(address, keys, window, max(self.rows_per_range, math.ceil(rows / self.max_connections)))
+
+    def _ranges(self, address: str, keys: list[str], window: str, per_range: int) -> list[str]:
+        """Ranges of the first key; a value with too many rows is cut by the next key."""
+        key, *others = keys
+        measures = f"MIN({key}) AS lo, MAX({key}) AS hi, COUNT({key}) AS n"
+        bounds = self.query(f"SELECT {measures} FROM {address} WHERE {window}").first()
+        if not bounds["n"]:
+            return ["1 = 1"]
+        whole = KeyRange(int(bounds["lo"]), int(bounds["hi"]), int(bounds["n"]))
+        ranges = split_ranges(histogram_of(self.query, address, key, window), whole, per_range)
+        statements = []
+        for part, predicate in zip(ranges, range_predicates(key, ranges)):
+            if others and part.rows > per_range:
+                finer = self._ranges(address, others, f"{window} AND {key} = {part.lo}", per_range)
+                statements += [f"({predicate}) AND ({f})" for f in finer]
+            else:
+                statements.append(predicate)
+        return statements
+
+
+def _whole_number_keys(contract: TableContract) -> list[str]:
+    return [k for k in contract.key if isinstance(contract[k].type, T.LongType)]

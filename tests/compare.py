@@ -54,4 +54,7 @@ def difference(df, connection, sql: str) -> str | None:
     ours, theirs = _bag(df.columns, rows), _bag(names, found.fetchall())
     if ours == theirs:
         return None if ours else "no row to compare"
-    return f"{sum(ours.values())} rows against {sum(theirs.values())}; ours only {list((ours - theirs))[:2]}; theirs only {list((theirs - ours))[:2]}"
+    return (
+        f"{sum(ours.values())} rows against {sum(theirs.values())}; "
+        f"ours only {list(ours - theirs)[:2]}; theirs only {list(theirs - ours)[:2]}"
+    )

@@ -266,3 +266,18 @@ def test_a_landed_table_knows_its_size(spark, place):
     ParquetSource(spark, SF).read(WAREHOUSE["orders"]).write.format("parquet").saveAsTable(f"{place[0]}.landed")
     size = scan_bytes(spark.table(f"{place[0]}.landed"))
     assert 10_000 < size < 100_000
+
+
+def test_executing_again_is_a_new_run(spark, job):
+    job.source = broken(spark)
+    with pytest.raises(IngestFailed):
+        job.execute(["region", "orders"])
+    job.source = ParquetSource(spark, SF)
+    first = job.run.run_id
+    job.execute(last_failed(spark, job.namespace))
+    assert job.run.run_id != first
+    assert last_failed(spark, job.namespace) == []
+    assert {r["run_id"]: r["n_tables"] for r in totals(read_audit(spark, job.namespace)).collect()} == {
+        first: 2,
+        job.run.run_id: 1,
+    }

@@ -129,7 +129,11 @@ def history(spark, n=200):
 
 def test_first_event_has_no_old_status(spark):
     df = spark.createDataFrame(
-        [(1, 1, None, "A", datetime(2024, 1, 1)), (2, 1, "A", "B", datetime(2024, 1, 1)), (3, 2, "A", "B", datetime(2024, 1, 1))],
+        [
+            (1, 1, None, "A", datetime(2024, 1, 1)),
+            (2, 1, "A", "B", datetime(2024, 1, 1)),
+            (3, 2, "A", "B", datetime(2024, 1, 1)),
+        ],
         "event_id long, transaction_id long, old_status string, new_status string, event_time timestamp",
     )
     assert [(r["event_id"], r["expected_status"]) for r in chain_breaks(df).collect()] == [(3, None)]
@@ -160,7 +164,15 @@ def test_events_of_no_transaction_are_cut_too(spark):
 
 def test_amounts_round_to_their_currency(spark):
     df = spark.createDataFrame(
-        [(1, "VND", Decimal("10.50")), (2, "USD", Decimal("10.55")), (3, "KWD", Decimal("10.55")), (4, "JPX", Decimal("-2.50")), (5, None, Decimal("1.23")), (6, "ONE", Decimal("1.25")), (7, "VND", None)],
+        [
+            (1, "VND", Decimal("10.50")),
+            (2, "USD", Decimal("10.55")),
+            (3, "KWD", Decimal("10.55")),
+            (4, "JPX", Decimal("-2.50")),
+            (5, None, Decimal("1.23")),
+            (6, "ONE", Decimal("1.25")),
+            (7, "VND", None),
+        ],
         "id int, currency_code string, amount decimal(18,2)",
     )
     digits = spark.createDataFrame(
@@ -235,18 +247,27 @@ def test_the_window_is_pushed_down_and_the_comparison_is_a_hash_join(spark, plac
 
 def test_balances(spark):
     accounts = spark.createDataFrame(
-        [(1, 1, 1, "X", Decimal("1.10")), (2, 1, 2, "X", Decimal("2.20")), (3, 2, 1, "Y", Decimal("-1.00")), (4, 9, 7, "X", Decimal("5.00"))],
+        [
+            (1, 1, 1, "X", Decimal("1.10")),
+            (2, 1, 2, "X", Decimal("2.20")),
+            (3, 2, 1, "Y", Decimal("-1.00")),
+            (4, 9, 7, "X", Decimal("5.00")),
+        ],
         "account_id long, customer_id long, branch_id long, currency_code string, current_balance decimal(18,2)",
     )
     branches = spark.createDataFrame([(1, "b1", "r"), (2, "b2", "r")], "branch_id long, branch_name string, region string")
-    found = {(r["currency_code"], r["region"], r["branch_name"], r["level"]): r["balance"] for r in branch_balances(accounts, branches).collect()}
+    found = {
+        (r["currency_code"], r["region"], r["branch_name"], r["level"]): r["balance"]
+        for r in branch_balances(accounts, branches).collect()
+    }
     assert found[("X", "r", None, 1)] == Decimal("3.30")
     assert found[("X", None, None, 0)] == Decimal("5.00")  # a branch that does not exist
     assert found[("X", None, None, 3)] == Decimal("8.30")
     customers = spark.createDataFrame(
         [(1, "a", "s"), (2, "b", "s"), (3, "c", "s")], "customer_id long, full_name string, customer_segment string"
     )
-    assert [(r["customer_id"], r["n_accounts"], r["balance"]) for r in customer_balances(accounts, customers).orderBy("customer_id").collect()] == [
+    held = customer_balances(accounts, customers).orderBy("customer_id").collect()
+    assert [(r["customer_id"], r["n_accounts"], r["balance"]) for r in held] == [
         (1, 2, Decimal("3.30")),
         (2, 1, Decimal("-1.00")),
         (3, 0, Decimal("0.00")),

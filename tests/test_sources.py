@@ -23,7 +23,10 @@ ITEMS = TableContract(
     "items", columns("id bigint\ncode string\nupdated_at timestamp"), key=("id",), cluster=("id",)
 )
 CODES = TableContract("codes", columns("code string\nupdated_at timestamp"), key=("code",))
-PACK = Registry("pack", (ITEMS, CODES))
+LINES = TableContract(
+    "lines", columns("id bigint\nline bigint\nupdated_at timestamp"), key=("id", "line"), cluster=("id",)
+)
+PACK = Registry("pack", (ITEMS, CODES, LINES))
 
 
 class SqlSource(JdbcSource):
@@ -50,6 +53,10 @@ def database(spark):
     spark.range(3).selectExpr("cast(id as string) AS code", "timestamp_seconds(id) AS updated_at").write.saveAsTable(
         f"{name}.codes"
     )
+    # One id holds a third of the lines.
+    spark.range(900).selectExpr(
+        "if(id % 3 = 0, 7L, id) AS id", "id AS line", "timestamp_seconds(id) AS updated_at"
+    ).write.saveAsTable(f"{name}.lines")
     return name
 
 
@@ -67,6 +74,15 @@ def test_a_large_table_is_read_in_even_ranges(spark, database):
     assert max(sizes) <= 200
 
 
+def test_a_hot_value_is_cut_by_the_next_key(spark, database):
+    jdbc = source(spark, database, rows_per_range=60)
+    found = jdbc.read(LINES)
+    assert found.select("id", "line").distinct().count() == found.count() == 900
+    sizes = [spark.table(f"{database}.lines").where(p).count() for p in jdbc.predicates]
+    assert sum(sizes) == 900
+    assert max(sizes) <= 61
+
+
 def test_connections_are_bounded(spark, database):
     jdbc = source(spark, database, rows_per_range=1, max_connections=4)
     jdbc.read(ITEMS)
@@ -106,7 +122,7 @@ def test_a_jdbc_load_needs_no_shuffle_when_read_by_its_cluster_key(spark, databa
     assert jdbc.ranged_by(ITEMS) == ITEMS.cluster
     job = Ingest(spark, jdbc, PACK, *place, run=run_on(1))
     audit = {r["table_name"]: r for r in job.execute().collect()}
-    assert audit["items"]["loaded_rows"] == 1505
+    assert {t: r["loaded_rows"] for t, r in audit.items()} == {"items": 1505, "codes": 3, "lines": 900}
     assert read_table(spark, place[0], ITEMS).select("id").distinct().count() == 1505
 
 
