@@ -11,14 +11,16 @@ their full shingle sets.
 A pair of similarity 0.8 agrees in fewer than 15 of 32 coordinates about once in
 100,000 times; that is the only way to lose a link.
 
-Documents with the same set are one class, so copies are never paired.  In
-every list the members are compared with one leader first, and classes already
-connected are not compared again: a list of thousands of near copies costs a
-star, not all its pairs.  What stars leave open is compared pair by pair.
+Documents with the same set are one class, so copies are never paired.  A list
+of up to ``SHORT`` classes is merged pair by pair.  In a longer one the members
+are compared with one leader first, and classes already connected are not
+compared again: a list of thousands of near copies costs a star, not all its
+pairs.  What stars leave open is compared with all others of the list.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -33,8 +35,8 @@ from quayside.llm.store import document_key, written
 
 COORDINATES, MATCHES = 32, 15
 
-#: Rounds of stars before what is left is compared pair by pair.
-STARS = 2
+#: Lists of more classes are merged by stars, in so many rounds, before what is left.
+SHORT, STARS = 16, 2
 
 _random = np.random.default_rng(20240101)
 _MULTIPLY = _random.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * U64(2) + U64(1)
@@ -119,23 +121,34 @@ def _sets(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         for piece in pieces(batch, "text"):
             with np.errstate(over="ignore"):
                 found = list(shingle_sets(piece.column("text"), width))
-                ids = [_identity(s)[0] for s in found]
+                ids = [_identity(s) for s in found]
             counts = np.array([len(s) for s in found], np.int64)
             values = np.concatenate(found).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), lists(values, counts, pa.int64())], ["class", "shingles"]
+                [*(pa.array(x, pa.int64()) for x in zip(*ids, strict=True)), lists(values, counts, pa.int64())],
+                ["set", "check", "shingles"],
             )
 
 
-def _postings(classes: DataFrame) -> DataFrame:
-    """``class, n_shingles, token`` for the rarest tokens of each class that others share."""
-    tokens = classes.select("class", F.explode("signature").alias("token"))
+def _postings(classes: DataFrame, similarity: int) -> DataFrame:
+    """``class, n_shingles, token`` for the rarest tokens of each class that others share.
+
+    Sets that are alike have sizes of one or of neighbouring steps of a
+    geometric scale.  Each class is posted on its own step and the next, and
+    what is rare is counted on each step.
+    """
+    step = F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(100 / similarity) + 1e-9).cast("int")
+    tokens = (
+        classes.select("class", "signature", F.explode(F.array(step, step + 1)).alias("step"))
+        .select("class", "step", F.explode("signature").alias("value"))
+        .select("class", "step", F.xxhash64("value", "step").alias("token"))
+    )
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # A class's tokens of its own come first in its prefix; they match nobody.
     room = COORDINATES - MATCHES + 1 - (COORDINATES - F.size("held"))
     ranked = (
         tokens.join(shared, "token")
-        .groupBy("class")
+        .groupBy("class", "step")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("held"))
         .where(room > 0)
         .select("class", F.explode(F.slice("held", F.lit(1), room)).alias("held"))
@@ -167,27 +180,40 @@ def _starred(postings: DataFrame, turn: int) -> DataFrame:
     )
 
 
+_PAIR = ("a_class AS a", "b_class AS b", "a_n_shingles AS a_size", "b_n_shingles AS b_size")
+
+
+def _side(postings: DataFrame, name: str) -> DataFrame:
+    return postings.select("token", *(F.col(c).alias(f"{name}_{c}") for c in postings.columns if c != "token"))
+
+
+def _all_pairs(postings: DataFrame) -> DataFrame:
+    """All pairs of lists that are short."""
+    pairs = _side(postings, "a").join(_side(postings, "b"), "token").where("a_class < b_class")
+    return pairs.selectExpr(*_PAIR)
+
+
 def _open_pairs(postings: DataFrame) -> DataFrame:
-    """All pairs of a list's members that are not connected yet."""
-    sides = [
-        postings.select("token", *(F.col(c).alias(f"{s}_{c}") for c in ("class", "n_shingles", "component")))
-        for s in "ab"
-    ]
-    return (
-        sides[0]
-        .join(sides[1], "token")
-        .where("a_class < b_class AND a_component <> b_component")
-        .select(
-            F.col("a_class").alias("a"),
-            F.col("b_class").alias("b"),
-            F.col("a_n_shingles").alias("a_size"),
-            F.col("b_n_shingles").alias("b_size"),
-        )
+    """Pairs of a list's members that are not connected yet.
+
+    One of such a pair is not in the list's most frequent component; only these
+    are compared with all others.
+    """
+    major = (
+        postings.groupBy("token", "component")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("token")
+        .agg(F.max(F.struct("n", "component"))["component"].alias("major"), F.count(F.lit(1)).alias("kinds"))
+        .where("kinds > 1")
+        .select("token", "major")
     )
+    apart = postings.join(major, "token").where("component <> major").drop("major")
+    pairs = _side(apart, "a").join(_side(postings, "b"), "token").where("a_component <> b_component")
+    return pairs.selectExpr(*_PAIR)
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Pairs that collide often enough and whose full sets are alike."""
+def _colliding(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
+    """Different pairs whose signatures agree often enough."""
     pairs = (
         pairs.where(_alike_in_size(similarity))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -197,7 +223,11 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, similarity
     for side in "ab":
         pairs = pairs.join(signed.select(F.col("class").alias(side), F.col("signature").alias(f"{side}_s")), side)
     collisions = F.size(F.filter(F.zip_with("a_s", "b_s", lambda x, y: x == y), lambda same: same))
-    pairs = pairs.where(collisions >= MATCHES).select("a", "b")
+    return pairs.where(collisions >= MATCHES).select("a", "b")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Pairs whose full sets are alike."""
     for side in "ab":
         pairs = pairs.join(sets.select(F.col("class").alias(side), F.col("shingles").alias(f"{side}_s")), side)
     common = F.size(F.array_intersect("a_s", "b_s"))
@@ -218,42 +248,53 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 80) -> Da
     """
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), document_key().alias("key"))
     signed = written(texts.mapInArrow(partial(_signed, width), _SIGNED), "signed")
+    # Sets are told apart by all of them; later steps name a class by a short number.
     classes = written(
         signed.where("n_shingles > 0")
-        .groupBy("class", "check", "n_shingles")
-        .agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.first("signature").alias("signature")),
+        .groupBy(F.col("class").alias("set"), "check", "n_shingles")
+        .agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.first("signature").alias("signature"))
+        .withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
     # Smaller sets are alike only if they are the same, and then one class.
     smallest = -(-similarity // (100 - similarity))
-    postings = written(_postings(classes.where(F.col("n_shingles") >= smallest)), "postings")
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token")
-    postings = postings.join(shared, "token", "left_semi")
-    wanted = classes.join(postings.select("class").distinct(), "class", "left_semi").select("key", "class")
+    postings = written(_postings(classes.where(F.col("n_shingles") >= smallest), similarity), "postings")
+    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    postings = written(postings.join(lists, "token"), "lists")
+    short = postings.where(F.col("n") <= SHORT).drop("n")
+    long = postings.where(F.col("n") > SHORT).drop("n")
+    pairs = written(_colliding(_all_pairs(short), classes, similarity), "pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).unionByName(long.select("class")).distinct()
+    wanted = classes.join(wanted, "class", "left_semi").select("key", "class", "set", "check")
     read = texts.join(wanted.select("key").distinct(), "key", "left_semi").mapInArrow(
-        partial(_sets, width), "class bigint, shingles array<bigint>"
+        partial(_sets, width), "set bigint, check bigint, shingles array<bigint>"
     )
-    sets = written(read.dropDuplicates(["class"]), "sets")
-
-    current = postings.withColumn("component", F.col("class"))
-    links = grown = None
-    for turn in range(STARS + 1):
-        pairs = _starred(current, turn) if turn < STARS else _open_pairs(current)
-        found = written(_confirmed(pairs, classes, sets, similarity), "confirmed")
-        links = found if links is None else links.unionByName(found)
-        grown = written(components(links), "components")
-        if turn < STARS:
-            current = written(
-                postings.join(grown.withColumnRenamed("node", "class"), "class", "left").withColumn(
-                    "component", F.coalesce("component", "class")
-                ),
-                "open",
-            )
+    sets = written(
+        read.dropDuplicates(["set", "check"]).join(wanted, ["set", "check"]).select("class", "shingles"), "sets"
+    )
+
+    links = written(_confirmed(pairs, sets, similarity), "confirmed")
+    grown = written(components(links), "components")
+    for turn in range(0 if long.isEmpty() else STARS + 1):
+        current = written(
+            long.join(grown.withColumnRenamed("node", "class"), "class", "left").withColumn(
+                "component", F.coalesce("component", "class")
+            ),
+            "open",
+        )
+        met = _starred(current, turn) if turn < STARS else _open_pairs(current)
+        found = written(_confirmed(_colliding(met, classes, similarity), sets, similarity), "confirmed")
+        if not found.isEmpty():
+            # What was connected is kept as one link to each component's smallest class.
+            links = grown.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
+            grown = written(components(links), "components")
     reached = classes.join(grown.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
     smallest_id = reached.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    placed = reached.select("class", "check", "n_shingles", "component").join(smallest_id, "component")
+    placed = reached.select(F.col("set").alias("class"), "check", "n_shingles", "component").join(
+        smallest_id, "component"
+    )
     own = F.col("n_shingles") == 0
     component_id = F.when(own, F.col("doc_id")).otherwise(F.col("component_id"))
     return (
