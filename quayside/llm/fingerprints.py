@@ -34,8 +34,8 @@ ANCHORS = (
 
 CHAIN = 2
 
-#: Ids are sorted in up to so many ranges, of so many ids at least.
-MOST_RANGES, RANGE_IDS = 1000, 2000
+#: Rows are sorted in ranges of so many, up to the square of ``MOST_CUTS`` ranges.
+RANGE_IDS, MOST_CUTS = 2000, 32
 
 
 def _named(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -82,25 +82,63 @@ def jaccard(a: Column, b: Column) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
-def _following(ids: DataFrame) -> DataFrame:
-    """``id, n, next_id`` for the distinct ``id`` of ``ids(id, n)``; the last is followed by the first.
+def _cuts(ids: DataFrame) -> list[list[float]]:
+    """Ids that cut the table into ranges of about ``RANGE_IDS`` rows, ``MOST_CUTS`` squared at most, in as many lists."""
+    ranges = max(1, min(MOST_CUTS * MOST_CUTS, ids.count() // RANGE_IDS))
+    if ranges == 1:
+        return []
+    bounds = sorted(set(ids.approxQuantile("id", [k / ranges for k in range(1, ranges)], 0.2 / ranges)))
+    size = max(1, math.isqrt(len(bounds)))
+    return [bounds[k : k + size] for k in range(0, len(bounds), size)]
 
-    Ids are dealt out over ranges, so that no task sorts all of them; what
-    follows a range's last id is the first of the next range.
+
+def _range_of(cuts: list[list[float]]) -> Column:
+    """How many cuts are not above the id: first among the lists' first ones, then within one list."""
+    if not cuts:
+        return F.lit(0)
+    value = F.col("id").cast("double")
+    outer = F.size(F.filter(F.array(*(F.lit(c[0]) for c in cuts)), lambda c: c <= value))
+    inner = F.get(F.array(*(F.array(*(F.lit(x) for x in c)) for c in cuts)), outer - 1)
+    within = F.coalesce(F.size(F.filter(inner, lambda c: c <= value)), F.lit(0))
+    return F.when(outer == 0, F.lit(0)).otherwise((outer - 1) * len(cuts[0]) + within)
+
+
+def _with_next(rows: DataFrame) -> DataFrame:
+    """``rows(id, doc_id, text)`` with ``signatures`` and the ``next`` document's text and signatures.
+
+    Rows are dealt out once, by ranges of ids.  A range's first document is also
+    the guest of the range before, whose last it follows; the first of all
+    follows the last of all.  From the largest id down, the next document is the
+    last one before that is the smallest text of its id.
     """
-    count = ids.count()
-    ranges = max(1, min(MOST_RANGES, count // RANGE_IDS))
-    bounds = ids.approxQuantile("id", [k / ranges for k in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
-    cuts = F.array(*(F.lit(float(b)) for b in sorted(set(bounds)))).cast("array<double>")
-    ranged = ids.withColumn("range", F.size(F.filter(cuts, lambda c: c <= F.col("id").cast("double"))))
-    inner = ranged.withColumn("next_id", F.lead("id").over(Window.partitionBy("range").orderBy("id")))
-    # One row for each range.
-    firsts = ranged.groupBy("range").agg(F.min("id").alias("first"))
-    one = Window.partitionBy(F.lit(0)).orderBy("range")
-    after = firsts.select(
-        "range", F.coalesce(F.lead("first").over(one), F.min("first").over(Window.partitionBy(F.lit(0)))).alias("after")
+    ranged = rows.withColumn("range", _range_of(_cuts(rows.select("id"))))
+    # One id for each range.
+    firsts = ranged.groupBy("range").agg(F.min("id").alias("id")).orderBy("range").collect()
+    hosts = [firsts[k - 1]["range"] for k in range(len(firsts))]
+    before = F.lit(None).cast("int")
+    if firsts:
+        pairs = [F.lit(x) for first, host in zip(firsts, hosts, strict=True) for x in (first["id"], host)]
+        before = F.try_element_at(F.create_map(*pairs), F.col("id")).cast("int")
+    placed = ranged.withColumn(
+        "place",
+        F.explode(
+            F.when(before.isNull(), F.array(F.struct(F.col("range"), F.lit(False).alias("guest")))).otherwise(
+                F.array(
+                    F.struct(F.col("range"), F.lit(False).alias("guest")),
+                    F.struct(before.alias("range"), F.lit(True).alias("guest")),
+                )
+            )
+        ),
+    ).select("id", "doc_id", "text", "place.range", "place.guest")
+    signed = placed.repartition("range").withColumn("signatures", signatures(F.col("text")))
+    # Guests follow every row of their host, also where the order of ids goes round.
+    down = Window.partitionBy("range").orderBy(F.desc("guest"), F.desc("id"), F.desc("text"))
+    smallest = F.lead("id").over(down).isNull() | (F.lead("id").over(down) != F.col("id")) | (
+        F.lead("guest").over(down) != F.col("guest")
     )
-    return inner.join(F.broadcast(after), "range").select("id", "n", F.coalesce("next_id", "after").alias("next_id"))
+    document = F.when(F.col("smallest"), F.struct("text", "signatures"))
+    above = F.last(document, ignorenulls=True).over(down.rowsBetween(Window.unboundedPreceding, -1))
+    return signed.withColumn("smallest", smallest).withColumn("next", above).where(~F.col("guest"))
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
@@ -113,26 +151,16 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     ``doc_id`` the smallest text stands for the next document, and each is
     returned.  An empty table gives no rows; other columns are not read.
     """
-    own = docs.select(
+    rows = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("id"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    signed = own.withColumn("signatures", signatures(F.col("text")))
-    sizes = own.groupBy("id").agg(F.max(F.char_length("text")).alias("n"))
-    following = _following(sizes).select(
-        F.col("next_id").alias("id"), F.col("id").alias("of"), (F.col("n") / 2).cast("bigint").cast("int").alias("need")
-    )
-    heads = (
-        signed.join(following, "id")
-        .groupBy(F.col("of").alias("id"))
-        .agg(F.min(F.struct(F.substring("text", F.lit(1), F.col("need")).alias("head"), "signatures")).alias("next"))
-    )
     half = F.floor(F.col("n_chars") / 2).cast("int")
     kept = F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int"))
-    edited = F.concat(kept, F.substring("next.head", F.lit(1), half))
+    edited = F.concat(kept, F.substring("next.text", F.lit(1), half))
     return (
-        signed.join(heads, "id")
+        _with_next(rows)
         .withColumn("n_chars", F.char_length("text").cast("bigint"))
         .select("doc_id", "n_chars", "signatures", edited.alias("edited"), F.col("next.signatures").alias("next"))
         .select("*", signatures(F.col("edited")).alias("edited_signatures"))
