@@ -36,7 +36,7 @@ from quayside.llm.store import document_key, written
 COORDINATES, MATCHES = 32, 15
 
 #: Lists of more classes are merged by stars, in so many rounds, before what is left.
-SHORT, STARS = 16, 2
+SHORT, STARS = 16, 3
 
 _random = np.random.default_rng(20240101)
 _MULTIPLY = _random.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * U64(2) + U64(1)
@@ -131,7 +131,9 @@ def _sets(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def _postings(classes: DataFrame, similarity: int) -> DataFrame:
-    """``class, n_shingles, token`` for the rarest tokens of each class that others share.
+    """``class, n_shingles, central, token`` for the rarest tokens of each class that others share.
+
+    ``central`` says how many share any of its tokens: most with an original, fewer with its changed copies.
 
     Sets that are alike have sizes of one or of neighbouring steps of a
     geometric scale.  Each class is posted on its own step and the next, and
@@ -151,8 +153,12 @@ def _postings(classes: DataFrame, similarity: int) -> DataFrame:
         .groupBy("class", "step")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("held"))
         .where(room > 0)
-        .select("class", F.explode(F.slice("held", F.lit(1), room)).alias("held"))
-        .select("class", "held.token")
+        .select(
+            "class",
+            F.aggregate("held.df", F.lit(0).cast("bigint"), lambda n, df: n + df).alias("central"),
+            F.explode(F.slice("held", F.lit(1), room)).alias("held"),
+        )
+        .select("class", "central", "held.token")
     )
     return ranked.join(classes.select("class", "n_shingles"), "class")
 
@@ -163,10 +169,13 @@ def _alike_in_size(similarity: int) -> Column:
 
 
 def _starred(postings: DataFrame, turn: int) -> DataFrame:
-    """Every member of a list beside the list's leader, unless connected already."""
-    named = postings.withColumn("order", F.xxhash64("class", F.lit(turn)))
-    leader = named.groupBy("token").agg(
-        F.min(F.struct("order", "class", "n_shingles", "component")).alias("leader")
+    """Every member of a list beside the list's leader, unless connected already.
+
+    The first to lead is the most central member, then any, by a hash.
+    """
+    order = -F.col("central") if turn == 0 else F.xxhash64("class", F.lit(turn))
+    leader = postings.groupBy("token").agg(
+        F.min(F.struct(order.alias("order"), "class", "n_shingles", "component")).alias("leader")
     )
     return (
         postings.join(leader, "token")
