@@ -61,9 +61,10 @@ def spans(of: np.ndarray, count: np.ndarray, hashes: np.ndarray, sentences: int,
     limit = np.searchsorted(of, of, "right") - 1
     first = first[last <= limit]
     last = last[last <= limit]
-    powers = np.concatenate([[1], np.cumprod(np.full(n, 0x9E3779B97F4A7C15, U64))]).astype(U64)
+    one = np.ones(1, U64)
+    powers = np.concatenate([one, np.cumprod(np.full(n, 0x9E3779B97F4A7C15, U64), dtype=U64)])
     inverse = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-    inverses = np.concatenate([[1], np.cumprod(np.full(n, inverse, U64))]).astype(U64)
+    inverses = np.concatenate([one, np.cumprod(np.full(n, inverse, U64), dtype=U64)])
     sums = np.concatenate([np.zeros(1, U64), np.cumsum(hashes * powers[:n], dtype=U64)])
     value = (sums[last + 1] - sums[first]) * inverses[first]
     return first, last, mix(value + (last - first).astype(U64))
