@@ -18,6 +18,8 @@ def coerce(value: Column, source: T.DataType, target: T.DataType, label: str) ->
     """
     if isinstance(source, (T.FloatType, T.DoubleType)):
         return _from_floating(value, source, target, label)
+    if isinstance(source, T.DecimalType) and source.scale and isinstance(target, _INTEGRAL):
+        return _whole(F.when(value.isNull(), F.lit(None)), value, target, label)
     return value if source == target else value.cast(target)
 
 
@@ -29,8 +31,12 @@ def _from_floating(value, source, target, label):
         refused = F.raise_error(F.lit(f"{label}: infinite value in a decimal column"))
         return known.when(infinite, refused).otherwise(exact.cast(target))
     if isinstance(target, _INTEGRAL):
-        refused = F.raise_error(F.lit(f"{label}: fractional value in a whole-number column"))
-        return known.when(value != F.floor(value), refused).otherwise(value.cast(target))
+        return _whole(known, value, target, label)
     if isinstance(target, (T.FloatType, T.DoubleType)):
         return known.otherwise(value.cast(target))
     return known.otherwise(value).cast(target)
+
+
+def _whole(known, value, target, label):
+    refused = F.raise_error(F.lit(f"{label}: fractional value in a whole-number column"))
+    return known.when(value != F.floor(value), refused).otherwise(value.cast(target))

@@ -16,3 +16,9 @@ def latest(df: DataFrame, key: list[str], newest_by: list[str]) -> DataFrame:
     order = [F.col(c).desc_nulls_last() for c in [*newest_by, *rest]]
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
     return ranked.where("_rank = 1").drop("_rank")
+
+
+def lookup(df: DataFrame, key: str, *columns: str) -> DataFrame:
+    """The latest row of each key of a lookup, which holds a copy for every appended batch."""
+    newest_by = ["_ingested_at"] if "_ingested_at" in df.columns else []
+    return latest(df.select(key, *columns, *newest_by), [key], newest_by).select(key, *columns)

@@ -17,10 +17,6 @@ TARGET_FILE_BYTES = 512 * 1024 * 1024
 SMALL_FILE_ROWS = 100_000
 SMALL_TABLE_FILES = 16
 
-#: Limits the blocks of the shuffle, which grow with its square; beyond it the
-#: files get larger, and their sort spills.
-MAX_FILES = 20_000
-
 _WIDTHS = {T.LongType: 8, T.TimestampType: 8, T.DateType: 4, T.BooleanType: 1, T.DecimalType: 8}
 
 
@@ -30,7 +26,7 @@ def file_count(contract: TableContract, rows: int, size_bytes: int | None, cores
         size_bytes = rows * sum(_WIDTHS.get(type(c.type), 24) for c in contract.columns)
     by_size = math.ceil(size_bytes / TARGET_FILE_BYTES)
     by_cores = min(cores, SMALL_TABLE_FILES, math.ceil(rows / SMALL_FILE_ROWS))
-    return max(1, min(MAX_FILES, max(by_size, by_cores)))
+    return max(1, by_size, by_cores)
 
 
 def scan_bytes(df: DataFrame) -> int:

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.frames import lookup_join
+from quayside.operators.dedup import lookup
 
 
 def round_to_currency(df: DataFrame, currencies: DataFrame, amounts: list[str]) -> DataFrame:
     """Round decimal columns half up to ``decimal_places``; unknown currencies stay as they are."""
-    digits = currencies.select("currency_code", F.col("decimal_places").alias("_digits"))
+    digits = lookup(currencies, "currency_code", "decimal_places").withColumnRenamed("decimal_places", "_digits")
     joined = lookup_join(df, digits, "currency_code")
     rounded = {name: _rounded(df, name) for name in amounts}
     return joined.withColumns(rounded).select(df.columns)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.operators.dedup import lookup
+
 
 def transaction_summary(
     transactions: DataFrame, transaction_types: DataFrame, channels: DataFrame, period: str = "day"
@@ -25,8 +27,8 @@ def transaction_summary(
         F.sum("fee_amount").alias("fee_amount"),
     )
     named = sums.join(
-        transaction_types.select("transaction_type_id", "transaction_type_code"), "transaction_type_id", "left"
-    ).join(channels.select("channel_id", "channel_code"), "channel_id", "left")
+        lookup(transaction_types, "transaction_type_id", "transaction_type_code"), "transaction_type_id", "left"
+    ).join(lookup(channels, "channel_id", "channel_code"), "channel_id", "left")
     return named.groupBy("period", "transaction_type_code", "channel_code", "currency_code", "status").agg(
         F.sum("n").alias("n_transactions"),
         F.sum("amount").cast("decimal(38,2)").alias("amount"),
@@ -42,7 +44,7 @@ def branch_balances(accounts: DataFrame, branches: DataFrame) -> DataFrame:
     sums = accounts.groupBy("branch_id", "currency_code").agg(
         F.count(F.lit(1)).alias("n"), F.sum("current_balance").alias("balance")
     )
-    placed = sums.join(branches.select("branch_id", "branch_name", "region"), "branch_id", "left")
+    placed = sums.join(lookup(branches, "branch_id", "branch_name", "region"), "branch_id", "left")
     by = ["currency_code", "region", "branch_name"]
     return placed.groupingSets([by, by[:2], by[:1]], *by).agg(
         F.sum("n").alias("n_accounts"),
@@ -57,7 +59,7 @@ def customer_balances(accounts: DataFrame, customers: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_accounts"),
         F.sum("current_balance").cast("decimal(38,2)").alias("balance"),
     )
-    return customers.select("customer_id", "full_name", "customer_segment").join(sums, "customer_id", "left").select(
+    return lookup(customers, "customer_id", "full_name", "customer_segment").join(sums, "customer_id", "left").select(
         "customer_id",
         "full_name",
         "customer_segment",

@@ -58,23 +58,30 @@ def failed_tables(audit: DataFrame) -> DataFrame:
 
 
 def last_failed(spark: SparkSession, namespace: str) -> list[str]:
-    """Failed tables of the namespace's last run."""
+    """Tables whose last attempt failed, whichever run it was in."""
     audit = read_audit(spark, namespace)
     if audit is None:
         return []
-    newest = audit.orderBy(F.desc("ingested_at")).select("run_id").first()
-    if newest is None:
-        return []
-    row = failed_tables(audit.where(F.col("run_id") == newest[0])).first()
-    return row["failed_tables"].split(",") if row else []
+    attempts = audit.groupBy("table_name").agg(
+        F.max_by(F.struct("status", "ord"), F.struct("ingested_at", "run_id")).alias("last")
+    )
+    rows = attempts.where(F.col("last.status") == FAILED).select("table_name", "last.ord").collect()
+    return [row["table_name"] for row in sorted(rows, key=lambda r: (r["ord"], r["table_name"]))]
 
 
 def last_high_water(spark: SparkSession, namespace: str, table: str) -> int | None:
-    """The highest modified time loaded so far, without reading the table."""
+    """The highest modified time of the batches the table has now, without reading it.
+
+    Batches that a truncating load or a dropped table took away say nothing
+    about the rows held; without any in the audit there is no mark.
+    """
     audit = read_audit(spark, namespace)
     if audit is None:
         return None
-    return _done(audit, table).agg(F.max("high_water")).first()[0]
+    held = spark.sql(f"SHOW PARTITIONS {table_name(namespace, table)}").select(
+        F.regexp_extract("partition", r"_ingestion_batch_id=([^/]*)", 1).alias("run_id")
+    )
+    return _done(audit, table).join(held, "run_id", "left_semi").agg(F.max("high_water")).first()[0]
 
 
 def batches_before(spark: SparkSession, namespace: str, table: str, start: int) -> list[str]:

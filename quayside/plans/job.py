@@ -8,6 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import timedelta
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -79,6 +80,7 @@ class Ingest:
     cluster_files: int | None = None
     run: Run = field(default_factory=lambda: Run("source"))
     _executed: bool = field(default=False, init=False, repr=False)
+    _appending: Lock = field(default_factory=Lock, init=False, repr=False)
 
     def __post_init__(self) -> None:
         if self.mode not in (*MODES, INCREMENTAL):
@@ -107,10 +109,14 @@ class Ingest:
             self.create()
         log.info("source: %s", self.source.probe(self.registry.select(tables)))
         with timestamps_with_statistics(self.spark):
-            rows = self._each(tables, self._load_table)
-        append_audit(self.spark, self.namespace, audit_frame(self.spark, rows))
+            rows = self._each(tables, self._load_table, self._written)
         return self._finish(rows, fail)
 
+    def _written(self, row: dict) -> None:
+        """Each table's row is in the audit as soon as it has ended; one append at a time."""
+        with self._appending:
+            append_audit(self.spark, self.namespace, audit_frame(self.spark, [row]))
+
     def _finish(self, rows: list[dict], fail: bool) -> DataFrame:
         audit = audit_frame(self.spark, rows)
         failed = [r["table_name"] for r in rows if r["status"] == FAILED]
@@ -118,11 +124,15 @@ class Ingest:
             raise IngestFailed(failed, audit)
         return audit
 
-    def _each(self, tables, action: Callable[[TableContract], dict]) -> list[dict]:
+    def _each(
+        self, tables, action: Callable[[TableContract], dict], ended: Callable[[dict], None] = lambda row: None
+    ) -> list[dict]:
         names = list(enumerate(self.registry.select(tables)))
 
         def one(item: tuple[int, str]) -> dict:
-            return self._recorded(*item, action)
+            row = self._recorded(*item, action)
+            ended(row)
+            return row
 
         if self.concurrency == 1:
             return [one(item) for item in names]
@@ -150,7 +160,7 @@ class Ingest:
             row |= action(self.registry[name])
         except Exception as error:  # noqa: BLE001 - one table must not stop the others
             log.exception("[%s] failed", name)
-            row |= {"status": FAILED, "error": f"{type(error).__name__}: {error}"[:2000]}
+            row |= {"status": FAILED, "error": f"{type(error).__name__}: {error}"}
         row["elapsed_s"] = time.monotonic() - started
         return row
 
@@ -178,7 +188,8 @@ class Ingest:
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._landing(contract)}")
         matched = self._reconciled(contract, source_rows, done) if mark is None else None
-        mode = "append" if self.mode == INCREMENTAL else self.mode
+        # Only an increment adds to the rows held; all that is loaded whole replaces them.
+        mode = "append" if mark is not None else "truncate" if self.mode == INCREMENTAL else self.mode
         publish_batch(self.spark, contract, self.namespace, self.run, mode)
         return {
             "source_rows": source_rows,

@@ -198,6 +198,22 @@ def test_older_batches_are_left_out_of_the_comparison(spark, job):
 def test_a_table_without_a_modified_column_is_loaded_whole(job):
     first = replace(job, mode="incremental")
     assert rows(first.execute(["region"]))["region"]["loaded_rows"] == 5
+    for day in (2, 3):
+        replace(first, run=run_on(day)).execute(["region"])
+    assert table(job, "region").count() == 5
+
+
+def test_the_mark_follows_the_batches_held(spark, job):
+    orders = ParquetSource(spark, SF).read(WAREHOUSE["orders"])
+    old = FrameSource({"orders": orders.where("o_orderkey % 7 = 0")})
+    replace(job, mode="incremental", run=run_on(1)).execute(["orders"])
+    replace(job, source=old, run=run_on(2)).execute(["orders"])
+    replace(job, mode="incremental", run=run_on(3)).execute(["orders"])
+    mark = last_high_water(spark, job.namespace, "orders")
+    held = table(job, "orders")
+    assert held.count() >= old.read(WAREHOUSE["orders"]).count()
+    assert held.dropDuplicates(["o_orderkey"]).count() == held.count()
+    assert mark == held.agg(F.max(F.unix_micros("o_orderdate"))).first()[0]
 
 
 class Landing(ParquetSource):

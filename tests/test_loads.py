@@ -9,7 +9,7 @@ from conftest import run_on
 from quayside.contracts import Registry, TableContract, columns
 from quayside.operators.catalog import TableMissing, create_tables, describe_columns, table_location, table_name
 from quayside.operators.conform import conform, with_lineage
-from quayside.operators.layout import MAX_FILES, cluster, file_count
+from quayside.operators.layout import TARGET_FILE_BYTES, cluster, file_count
 from quayside.operators.sinks import load, read_table, write_batch
 
 ITEMS = TableContract(
@@ -159,7 +159,7 @@ def test_file_count_follows_the_size():
     assert file_count(ITEMS, 10, None) == 1
     assert file_count(ITEMS, 10, 10 * 1024**3) == 20
     assert file_count(ITEMS, 10**9, None) == 45
-    assert file_count(ITEMS, 10, 10**17) == MAX_FILES
+    assert file_count(ITEMS, 10, 10**17) == -(-(10**17) // TARGET_FILE_BYTES)
     assert file_count(ITEMS, 600_000, 10**7, cores=8) == 6
     assert file_count(ITEMS, 10**8, 10**9, cores=8000) == 16
 
