@@ -7,9 +7,11 @@ import pytest
 import __spark_entry__ as entry_points
 from compare import connect, difference
 from conftest import SF
+from quayside.plans.oracles import oracles
+from quayside.plans.registered import registered
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = registered()
+SQL = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,8 @@ def oracle():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
