@@ -15,7 +15,8 @@ Documents with the same set are one class, so copies are never paired.  A list
 of up to ``SHORT`` classes is merged pair by pair.  In a longer one the members
 are compared with one leader first, and classes already connected are not
 compared again: a list of thousands of near copies costs a star, not all its
-pairs.  What stars leave open is compared with all others of the list.
+pairs.  What stars leave open is compared with those of the list that share
+enough of its differences from the leader to be alike; no link is lost by that.
 """
 
 from __future__ import annotations
@@ -168,14 +169,31 @@ def _alike_in_size(similarity: int) -> Column:
     return 100 * sizes[0] >= similarity * sizes[1]
 
 
+def _majors(postings: DataFrame) -> DataFrame:
+    """``token, major``: the most frequent component of each list that holds several."""
+    return (
+        postings.groupBy("token", "component")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("token")
+        .agg(F.max(F.struct("n", "component"))["component"].alias("major"), F.count(F.lit(1)).alias("kinds"))
+        .where("kinds > 1")
+        .select("token", "major")
+    )
+
+
 def _starred(postings: DataFrame, turn: int) -> DataFrame:
     """Every member of a list beside the list's leader, unless connected already.
 
-    The first to lead is the most central member, then any, by a hash.
+    The first to lead is the most central member, then others outside the
+    list's most frequent component: the most central one, then any, by a hash.
     """
-    order = -F.col("central") if turn == 0 else F.xxhash64("class", F.lit(turn))
-    leader = postings.groupBy("token").agg(
-        F.min(F.struct(order.alias("order"), "class", "n_shingles", "component")).alias("leader")
+    if turn:
+        postings = postings.join(_majors(postings), "token")
+    order = -F.col("central") if turn < 2 else F.xxhash64("class", F.lit(turn))
+    leader = (
+        (postings.where("component <> major") if turn else postings)
+        .groupBy("token")
+        .agg(F.min(F.struct(order.alias("order"), "class", "n_shingles", "component")).alias("leader"))
     )
     return (
         postings.join(leader, "token")
@@ -202,23 +220,103 @@ def _all_pairs(postings: DataFrame) -> DataFrame:
     return pairs.selectExpr(*_PAIR)
 
 
-def _open_pairs(postings: DataFrame) -> DataFrame:
-    """Pairs of a list's members that are not connected yet.
+def _differences(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """How each member of a list that is still open differs from the list's leader.
 
-    One of such a pair is not in the list's most frequent component; only these
-    are compared with all others.
+    The leader is the most central member of the list's most frequent component;
+    ``apart`` marks members outside of it.  ``weight`` grows with the difference,
+    ``slack`` is the weight up to which a member is alike to the leader.
     """
-    major = (
-        postings.groupBy("token", "component")
-        .agg(F.count(F.lit(1)).alias("n"))
+    held = postings.join(_majors(postings), "token")
+    leaders = (
+        held.where("component = major")
         .groupBy("token")
-        .agg(F.max(F.struct("n", "component"))["component"].alias("major"), F.count(F.lit(1)).alias("kinds"))
-        .where("kinds > 1")
-        .select("token", "major")
+        .agg(F.min(F.struct((-F.col("central")).alias("order"), "class"))["class"].alias("leader"))
+    )
+    members = (
+        held.join(leaders, "token")
+        .where("class <> leader")
+        .select("leader", "class", "n_shingles", "component", (F.col("component") != F.col("major")).alias("apart"))
+        .distinct()
+    )
+    read = members.join(sets, "class").join(
+        sets.select(F.col("class").alias("leader"), F.col("shingles").alias("leading")), "leader"
+    )
+    gone, more = F.array_except("leading", "shingles"), F.array_except("shingles", "leading")
+    return read.select(
+        "leader",
+        "class",
+        "n_shingles",
+        "component",
+        "apart",
+        F.concat(gone, more).alias("differs"),
+        (100 * F.size(gone) + similarity * F.size(more)).cast("bigint").alias("weight"),
+        ((100 - similarity) * F.size("leading")).cast("bigint").alias("slack"),
+    )
+
+
+def _open_pairs(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of a list's members that are not connected yet and may be alike.
+
+    With the leader L of the list, A = L - r(A) + d(A), so A and B have
+    |L| - |r(A)| - |r(B)| in common, and what their differences from L share.  Sets
+    that are alike must then share at least (weight(A) + weight(B) - slack) /
+    (100 + similarity) of these differences, and that is positive where A is
+    outside the leader's component.  So differences are posted instead of sets:
+    two changed copies of one text share the text but rarely their changes.
+    Of each member only the rarest, as many as must hold a shared one, are merged.
+    """
+    apart = written(_differences(postings, sets, similarity), "differences")
+    least = apart.groupBy("leader").agg(
+        F.min("weight").alias("least"), F.min(F.when(F.col("apart"), F.col("weight"))).alias("least_apart")
+    )
+
+    def shared(weight: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil((weight - F.col("slack")) / (100 + similarity)))
+
+    members = (
+        apart.join(least, "leader")
+        .where("least_apart IS NOT NULL")
+        .withColumn("n", F.size("differs"))
+        .withColumn("any", shared(F.col("weight") + F.col("least")))
+        .withColumn("other", shared(F.col("weight") + F.col("least_apart")))
+        .where("other <= n OR (apart AND any <= n)")
+    )
+    changes = members.select("leader", "class", "apart", F.explode("differs").alias("change"))
+    # Changes that no member apart shares come first in the order, and meet nobody.
+    met = (
+        changes.groupBy("leader", "change")
+        .agg(F.count(F.lit(1)).alias("df"), F.max("apart").alias("wanted"))
+        .where("df > 1 AND wanted")
+        .drop("wanted")
+    )
+    ranked = (
+        changes.drop("apart")
+        .join(met, ["leader", "change"])
+        .groupBy("leader", "class")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "change"))).alias("held"))
+    )
+    fields = ("class", "n_shingles", "component", "apart", "weight", "n")
+    ranked = written(members.select("leader", "slack", "any", "other", *fields).join(ranked, ["leader", "class"]), "changes")
+
+    def posted(side: str, need: str) -> DataFrame:
+        room = F.size("held") - F.col(need) + 1
+        return ranked.where(room > 0).select(
+            "leader",
+            *(F.col(c).alias(f"{side}_{c}") for c in fields),
+            *([F.col("slack")] if side == "a" else []),
+            F.explode(F.slice("held", F.lit(1), room.cast("int"))["change"]).alias("change"),
+        )
+
+    must = shared(F.col("a_weight") + F.col("b_weight"))
+    return (
+        posted("a", "any")
+        .where("a_apart")
+        .join(posted("b", "other"), ["leader", "change"])
+        .where("a_component <> b_component AND (NOT b_apart OR a_class < b_class)")
+        .where(must <= F.least("a_n", "b_n"))
+        .selectExpr(*_PAIR)
     )
-    apart = postings.join(major, "token").where("component <> major").drop("major")
-    pairs = _side(apart, "a").join(_side(postings, "b"), "token").where("a_component <> b_component")
-    return pairs.selectExpr(*_PAIR)
 
 
 def _colliding(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
@@ -291,7 +389,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 80) -> Da
             ),
             "open",
         )
-        met = _starred(current, turn) if turn < STARS else _open_pairs(current)
+        met = _starred(current, turn) if turn < STARS else _open_pairs(current, sets, similarity)
         found = written(_confirmed(_colliding(met, classes, similarity), sets, similarity), "confirmed")
         if not found.isEmpty():
             # What was connected is kept as one link to each component's smallest class.

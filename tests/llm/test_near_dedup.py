@@ -6,7 +6,7 @@ import re
 import pytest
 
 from quayside.llm.components import components
-from quayside.llm.near_dedup import near_duplicates, one_of_each
+from quayside.llm.near_dedup import _open_pairs, near_duplicates, one_of_each
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -91,3 +91,44 @@ def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
     assert got == {**{i: 0 for i in range(61)}, **{1000 + i: 1000 for i in range(50)}}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_many_changed_copies_of_one_text(spark, seed):
+    """Lists that stars leave open: some copies are alike to a few others only, some families to each other not at all."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(words) for _ in range(150)]
+    rows = []
+    for rate in [0.02] * 60 + [0.05] * 80 + [0.07] * 60:
+        copy = [w if rng.random() > rate else rng.choice(words) for w in base]
+        rows.append((len(rows), " ".join(copy)))
+    for family in range(4):
+        changed = [w if rng.random() > 0.15 else rng.choice(words) for w in base]
+        for _ in range(20):
+            copy = [w if rng.random() > 0.03 else rng.choice(words) for w in changed]
+            rows.append((len(rows), " ".join(copy)))
+    expected = brute(rows, 2)
+    assert 3 < len({r[2] for r in expected}) < len(rows) / 2
+    assert found(spark.createDataFrame(rows, "doc_id bigint, text string"), 2) == expected
+
+
+def test_open_pairs_lose_none(spark):
+    """Every pair of a list across components that is alike is among those that are compared."""
+    rng = random.Random(5)
+    base = list(range(200))
+    sets = [set(base)]
+    for rate in [0.02, 0.06, 0.1, 0.12, 0.15] * 10:
+        one = {x for x in base if rng.random() > rate} | {rng.randrange(200, 800) for _ in range(int(200 * rate))}
+        sets.append(one)
+        for _ in range(3):
+            sets.append({x for x in one if rng.random() > 0.04} | {rng.randrange(200, 800) for _ in range(6)})
+    sets += [{*range(1000 + 10 * i, 1060 + 10 * i)} for i in range(20)]
+    alike = {(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    component = [0 if i == 0 or (i, 0) in alike else i for i in range(len(sets))]
+    postings = [(7, i, len(s), 100 - i, component[i]) for i, s in enumerate(sets)]
+    postings = spark.createDataFrame(postings, "token bigint, class bigint, n_shingles bigint, central bigint, component bigint")
+    held = spark.createDataFrame([(i, list(s)) for i, s in enumerate(sets)], "class bigint, shingles array<bigint>")
+    got = {(max(r["a"], r["b"]), min(r["a"], r["b"])) for r in _open_pairs(postings, held, 80).collect()}
+    wanted = {(i, j) for i, j in alike if component[i] != component[j]}
+    assert wanted and wanted <= got
