@@ -85,6 +85,11 @@ def table_location(spark: SparkSession, name: str) -> str:
     return described.where("col_name = 'Location'").first()["data_type"].rstrip("/")
 
 
+def set_properties(spark: SparkSession, name: str, values: dict[str, str]) -> None:
+    listed = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({listed})")
+
+
 def describe_columns(spark: SparkSession, namespace: str, contract: TableContract) -> DataFrame:
     """Name, type and comment of each column, as the catalog has them."""
     schema = spark.table(require_table(spark, namespace, contract.name)).schema

@@ -21,7 +21,9 @@ _WIDTHS = {T.LongType: 8, T.TimestampType: 8, T.DateType: 4, T.BooleanType: 1, T
 
 
 def file_count(contract: TableContract, rows: int, size_bytes: int | None, cores: int = 1) -> int:
-    """Files for a load, from the source's bytes or else its rows and types."""
+    """Files for a load, from the source's bytes or else its rows and types; one if it has no rows."""
+    if not rows:
+        return 1
     if size_bytes is None:
         size_bytes = rows * sum(_WIDTHS.get(type(c.type), 24) for c in contract.columns)
     by_size = math.ceil(size_bytes / TARGET_FILE_BYTES)

@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.contracts import LINEAGE, TableContract
-from quayside.operators.catalog import require_table, table_location
+from quayside.operators.catalog import require_table, set_properties, table_location
 from quayside.operators.conform import Run
-from quayside.session import timestamps_with_statistics
+from quayside.session import remove_folder, timestamps_with_statistics
 
 MODES = ("truncate", "append")
 
+#: Table properties while a truncating load is published, each a batch's path in the
+#: table: one that does not count yet, and one beside which no other counts.
+HIDDEN, ONLY = "batch_hidden", "batch_only"
+
 
 @dataclass(frozen=True)
 class Loaded:
-    """Rows written, their highest modified time in microseconds, and the rows without one."""
+    """Rows written, their highest modified time in microseconds, the rows without one, and where they are."""
 
     rows: int
     high_water: int | None
     unmarked: int
+    folder: str | None = None
 
 
 def measured(df: DataFrame, contract: TableContract) -> tuple[DataFrame, Observation]:
@@ -56,49 +62,108 @@ def load(
     """Write a stamped frame as one batch and make it part of the table."""
     with timestamps_with_statistics(spark):
         written = write_batch(spark, df, contract, namespace, run)
-    publish_batch(spark, contract, namespace, run, mode)
+    publish_batch(spark, contract, namespace, run, mode, written.folder)
     return written
 
 
 def write_batch(spark: SparkSession, df: DataFrame, contract: TableContract, namespace: str, run: Run) -> Loaded:
-    """Write a stamped frame into its batch's folder of an existing table.
+    """Write a stamped frame into a new folder beside the table's.
 
-    Readers go by the catalog, so nothing changes for them until the batch is
-    published; a run that fails before that leaves the table as it was.
+    Every attempt has its own, so nothing changes for readers until the batch
+    is published, also when a published run is tried again; one that fails
+    takes its folder away.
     """
     table = require_table(spark, namespace, contract.name)
-    folder = f"{table_location(spark, table)}/{_spec(run)}"
+    folder = f"{table_location(spark, table)}__batches/{uuid.uuid4()}/{_spec(run)}"
     counted, seen = measured(df.drop("_ingestion_batch_id"), contract)
-    counted.write.mode("overwrite").parquet(folder)
-    return loaded(seen)
-
-
-def publish_batch(spark: SparkSession, contract: TableContract, namespace: str, run: Run, mode: str) -> None:
-    """Add a written batch to its table; truncating then drops the others, of all dates."""
+    try:
+        counted.write.parquet(folder)
+    except Exception:
+        remove_folder(spark, folder)
+        raise
+    return replace(loaded(seen), folder=folder)
+
+
+def publish_batch(
+    spark: SparkSession, contract: TableContract, namespace: str, run: Run, mode: str, folder: str
+) -> None:
+    """Make a written batch part of its table; truncating, the only part.
+
+    Each mode has one catalog call that makes the change for ``read_table``.  A
+    run published before gets its new folder by one call too; if it truncates
+    a table of several batches, the others go by a second.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     table = require_table(spark, namespace, contract.name)
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_partition(run.ingested_date, run.run_id)}")
+    settle(spark, table)
+    part = _partition(_spec(run))
+    if not spark.sql(f"SHOW PARTITIONS {table} {part}").isEmpty():
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {part}")
+        before = described.where("col_name = 'Location'").first()["data_type"]
+        spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{folder}'")
+        remove_folder(spark, before)
+    elif mode == "append":
+        _add(spark, table, run, folder)
+    else:
+        announce(spark, table, run, folder)
     if mode == "truncate":
-        _drop_other_batches(spark, table, run)
+        switch(spark, table, run)
+        settle(spark, table)
     spark.catalog.refreshTable(table)
 
 
+def announce(spark: SparkSession, table: str, run: Run, folder: str) -> None:
+    """Add a batch that readers do not see yet."""
+    set_properties(spark, table, {HIDDEN: _spec(run)})
+    _add(spark, table, run, folder)
+
+
+def switch(spark: SparkSession, table: str, run: Run) -> None:
+    """From here on readers see this batch and no other."""
+    set_properties(spark, table, {HIDDEN: "", ONLY: _spec(run)})
+
+
+def settle(spark: SparkSession, table: str) -> None:
+    """Drop what readers do not see: after a switch, or left by a load that died."""
+    marks = _marks(spark, table)
+    if not marks:
+        return
+    if marks.get(ONLY):
+        found = [row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        unseen = [spec for spec in found if spec != marks[ONLY]]
+    else:
+        unseen = [marks[HIDDEN]] if marks.get(HIDDEN) else []
+    if unseen:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(map(_partition, unseen))}")
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{HIDDEN}', '{ONLY}')")
+
+
+def _marks(spark: SparkSession, table: str) -> dict[str, str]:
+    listed = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key").isin(HIDDEN, ONLY))
+    return {row["key"]: row["value"] for row in listed.collect()}
+
+
+def _add(spark: SparkSession, table: str, run: Run, folder: str) -> None:
+    spark.sql(f"ALTER TABLE {table} ADD {_partition(_spec(run))} LOCATION '{folder}'")
+
+
 def _spec(run: Run) -> str:
     return f"_ingested_date={run.ingested_date}/_ingestion_batch_id={run.run_id}"
 
 
-def _partition(day: str, batch: str) -> str:
+def _day_and_batch(spec: str) -> list[str]:
+    return [part.split("=", 1)[1] for part in spec.split("/", 1)]
+
+
+def _partition(spec: str) -> str:
+    day, batch = _day_and_batch(spec)
     return f"PARTITION (_ingested_date = DATE'{day}', _ingestion_batch_id = '{batch}')"
 
 
-def _drop_other_batches(spark: SparkSession, table: str, run: Run) -> None:
-    found = [row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    others = [
-        _partition(*(part.split("=", 1)[1] for part in spec.split("/"))) for spec in found if spec != _spec(run)
-    ]
-    if others:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(others)}")
+def _is(spec: str):
+    day, batch = _day_and_batch(spec)
+    return (F.col("_ingested_date") == F.lit(day).cast("date")) & (F.col("_ingestion_batch_id") == batch)
 
 
 def read_table(
@@ -116,7 +181,12 @@ def read_table(
     Bounds on the instant are repeated on the partition date, since a filter on
     the instant alone would still open every date's files.
     """
-    df = spark.table(require_table(spark, namespace, contract.name))
+    table = require_table(spark, namespace, contract.name)
+    df, marks = spark.table(table), _marks(spark, table)
+    if marks.get(HIDDEN):
+        df = df.where(~_is(marks[HIDDEN]))
+    if marks.get(ONLY):
+        df = df.where(_is(marks[ONLY]))
     if batches is not None:
         df = df.where(F.col("_ingestion_batch_id").isin(list(batches)))
     if except_batches:

@@ -25,6 +25,7 @@ from quayside.operators.sinks import (
     measured,
     publish_batch,
     read_table,
+    settle,
     write_batch,
 )
 from quayside.plans.audit import (
@@ -36,7 +37,7 @@ from quayside.plans.audit import (
     batches_before,
     last_high_water,
 )
-from quayside.session import require_session, timestamps_with_statistics
+from quayside.session import remove_folder, require_session, timestamps_with_statistics
 from quayside.sources.base import Source
 
 log = logging.getLogger(__name__)
@@ -177,7 +178,7 @@ class Ingest:
         }
 
     def _load_table(self, contract: TableContract) -> dict:
-        require_table(self.spark, self.namespace, contract.name)
+        settle(self.spark, require_table(self.spark, self.namespace, contract.name))
         source_rows = self.source.count(contract.name)
         mark = self._mark(contract)
         try:
@@ -190,7 +191,7 @@ class Ingest:
         matched = self._reconciled(contract, source_rows, done) if mark is None else None
         # Only an increment adds to the rows held; all that is loaded whole replaces them.
         mode = "append" if mark is not None else "truncate" if self.mode == INCREMENTAL else self.mode
-        publish_batch(self.spark, contract, self.namespace, self.run, mode)
+        publish_batch(self.spark, contract, self.namespace, self.run, mode, done.folder)
         return {
             "source_rows": source_rows,
             "loaded_rows": done.rows,
@@ -206,6 +207,7 @@ class Ingest:
             return True
         told = f"[{contract.name}] source has {source_rows} rows, loaded {done.rows}"
         if self.strict:
+            remove_folder(self.spark, done.folder)
             raise CountMismatch(told)
         log.warning(told)
         return False

@@ -131,6 +131,8 @@ def oracles() -> dict[str, str]:
                           FROM orders) b
             GROUP BY 1""",
         "scan_ranges": "SELECT 1 AS statements, count(*) AS n_rows FROM lineitem",
+        "scan_text_ranges": "SELECT 1 AS statements, count(*) AS n_rows FROM customer",
+        "scan_hot_ranges": "SELECT 1 AS statements, count(*) AS n_rows FROM orders",
         "source_counts": _counts(WAREHOUSE.tables),
         "empty_batch_append": f"""
             SELECT '{FIRST.run_id}' AS run_id, count(*) AS loaded_rows, 6 AS n_columns, 'OK' AS status,
@@ -147,6 +149,12 @@ def oracles() -> dict[str, str]:
             FROM lineitem""",
         "add_lineage": _loaded(orders, "orders"),
         "truncate_load": _loaded(orders, "orders", SECOND),
+        "failed_rerun": _loaded(orders, "orders"),
+        "strict_refusal": _loaded(orders, "orders"),
+        "mismatch_audit": """
+            SELECT 0 AS ord, 'orders' AS table_name, count(*) + 1 AS source_rows, count(*) AS loaded_rows,
+                   6 AS n_columns, 'OK' AS status, FALSE AS matched FROM orders""",
+        "half_truncation": f"{_loaded(orders, 'orders')} UNION ALL {_loaded(orders, 'orders', SECOND)}",
         "append_load": f"{_loaded(orders, 'orders')} UNION ALL {_loaded(orders, 'orders', SECOND)}",
         "read_by_ingest_time": _loaded(orders, "orders", SECOND),
         "read_by_batch": _loaded(orders, "orders", FIRST),
@@ -160,7 +168,7 @@ def oracles() -> dict[str, str]:
         "default_ingested_at": _conformed(orders, "orders", "TRUE AS stamped", *_lineage(FIRST)[1:]),
         "observed_counts": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, count(*) AS loaded_rows, count(*) AS target_rows FROM {t}"
-            for t in ("customer", "orders", "lineitem", "documents")
+            for t in WAREHOUSE.tables
         ),
         "reconcile_counts": f"""
             WITH s AS ({_counts(WAREHOUSE.tables)}),
@@ -219,7 +227,7 @@ def oracles() -> dict[str, str]:
         "quality_nulls": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS n_nulls "
             f"FROM {_typed_table(t)} t"
-            for t in ("customers", "accounts", "transactions")
+            for t in BANKING.tables
             for c in BANKING[t].required
         ),
         "quality_rules": f"""
@@ -240,6 +248,13 @@ def oracles() -> dict[str, str]:
         "quality_keys": """
             SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS n_rows
             FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
+        "quality_all_keys": " UNION ALL ".join(
+            f"SELECT '{c.name}' AS table_name, concat_ws('|', {', '.join(c.key)}) AS key, count(*) AS n_rows "
+            f"FROM {_typed_table(c.name) if c.name in BANKING.tables else c.name} t "
+            f"GROUP BY {', '.join(c.key)} HAVING count(*) > 1"
+            for c in [*BANKING, *WAREHOUSE]
+            if c.key
+        ),
         "quality_orphans": " UNION ALL ".join(_orphans(c.name, ref) for c in BANKING for ref in c.references),
         "status_chain": f"""
             SELECT transaction_id, event_id, event_time, old_status, new_status, expected_status FROM (
@@ -279,7 +294,8 @@ def oracles() -> dict[str, str]:
     sql["load_embeddings"] = f"""
         SELECT vec_id, CAST(label AS BIGINT) AS label, {', '.join(_lineage(FIRST))},
                CAST(pos - 1 AS INT) AS embedding_pos, CAST(embedding[pos] AS DOUBLE) AS embedding
-        FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS pos FROM embeddings) e"""
+        FROM (SELECT *, unnest(CASE WHEN len(embedding) > 0 THEN range(1, len(embedding) + 1)
+                                    ELSE [CAST(NULL AS BIGINT)] END) AS pos FROM embeddings) e"""
     for contract in BANKING:
         sql[f"load_banking_{contract.name}"] = _loaded(contract, f"({shape_sql(contract.name)}) s")
     return sql

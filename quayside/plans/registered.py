@@ -22,7 +22,7 @@ from quayside.operators.dedup import latest
 from quayside.operators.history import chain_breaks
 from quayside.operators.money import round_to_currency
 from quayside.operators.reconcile import counts, reconcile
-from quayside.operators.sinks import read_table
+from quayside.operators.sinks import announce, read_table, switch, write_batch
 from quayside.operators.standardise import accepted, rejected, standardise
 from quayside.plans.audit import failed_tables, last_failed, read_audit, totals
 from quayside.plans.banking_shape import banking_frames
@@ -35,6 +35,8 @@ from quayside.sources.ranges import (
     bucket_width,
     histogram_of,
     histogram_sql,
+    ordered_predicates,
+    ordered_sql,
     range_predicates,
     split_ranges,
 )
@@ -58,10 +60,11 @@ def query(function: Query) -> Query:
 
 def printable(df: DataFrame) -> DataFrame:
     """Values two engines show alike: decimals and dates as text, times without zone, arrays by element."""
+    # A row whose array is null or empty stays, with neither place nor element.
     for field in df.schema.fields:
         if isinstance(field.dataType, T.ArrayType):
             others = [c for c in df.columns if c != field.name]
-            df = df.select(*others, F.posexplode(field.name).alias(f"{field.name}_pos", field.name))
+            df = df.select(*others, F.posexplode_outer(field.name).alias(f"{field.name}_pos", field.name))
     shown = {
         f.name: F.col(f.name).cast("string" if isinstance(f.dataType, (T.DecimalType, T.DateType)) else "timestamp_ntz")
         for f in df.schema.fields
@@ -125,6 +128,25 @@ def scan_ranges(spark, sf_dir):
     return lineitem.groupBy(sum(hits, F.lit(0)).alias("statements")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _statements_per_row(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """Rows by how many statements of a parallel read by this key would read them."""
+    shares = df.sparkSession.sql(ordered_sql("{rows}", key, parts), rows=df).collect()
+    hits = [F.coalesce(F.expr(p).cast("int"), F.lit(0)) for p, _ in ordered_predicates(key, shares)]
+    return df.groupBy(sum(hits, F.lit(0)).alias("statements")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def scan_text_ranges(spark, sf_dir):
+    """A text key is read in ranges too: each row by exactly one statement."""
+    return _statements_per_row(ParquetSource(spark, sf_dir).read(WAREHOUSE["customer"]), "c_name", 16)
+
+
+@query
+def scan_hot_ranges(spark, sf_dir):
+    """The same for a text of which few values hold all rows."""
+    return _statements_per_row(ParquetSource(spark, sf_dir).read(WAREHOUSE["orders"]), "o_orderstatus", 16)
+
+
 @query
 def source_counts(spark, sf_dir):
     source = ParquetSource(spark, sf_dir)
@@ -228,6 +250,57 @@ def truncate_load(spark, sf_dir):
     return _loaded(job, "orders")
 
 
+def _after_repair(job: Ingest, table: str) -> DataFrame:
+    """What readers see, also once the catalog looked for folders it does not know."""
+    job.spark.sql(f"MSCK REPAIR TABLE {table_name(job.namespace, table)}")
+    return _loaded(job, table)
+
+
+@query
+def failed_rerun(spark, sf_dir):
+    """A run tried again that fails while it writes leaves its published rows."""
+    job = _load(_job(spark, ParquetSource(spark, sf_dir), WAREHOUSE), ["orders"])
+    price = F.when(F.col("o_orderstatus") == "P", F.lit(float("inf"))).otherwise(F.col("o_totalprice"))
+    bad = job.source.read(WAREHOUSE["orders"]).withColumn("o_totalprice", price)
+    replace(job, source=FrameSource({"orders": bad})).execute(["orders"], create=False, fail=False)
+    return _after_repair(job, "orders")
+
+
+class _Overcounted(ParquetSource):
+    """Counts a row more than it has."""
+
+    def count(self, table: str) -> int:
+        return super().count(table) + 1
+
+
+@query
+def strict_refusal(spark, sf_dir):
+    """A batch refused for its count is not in the table, nor in a folder that a repair would add."""
+    job = _load(_job(spark, ParquetSource(spark, sf_dir), WAREHOUSE), ["orders"])
+    strict = replace(job, source=_Overcounted(spark, sf_dir), strict=True, run=SECOND)
+    strict.execute(["orders"], create=False, fail=False)
+    return _after_repair(job, "orders")
+
+
+@query
+def mismatch_audit(spark, sf_dir):
+    """Without ``strict`` the batch is loaded and the audit says that counts differ."""
+    job = _job(spark, _Overcounted(spark, sf_dir), WAREHOUSE)
+    return read_audit(spark, _load(job, ["orders"]).namespace).select(_AUDIT)
+
+
+@query
+def half_truncation(spark, sf_dir):
+    """A truncating load that dies: before its switch the old rows are read, after it the new, never both."""
+    job = _load(_job(spark, ParquetSource(spark, sf_dir), WAREHOUSE), ["orders"])
+    contract, table = WAREHOUSE["orders"], table_name(job.namespace, "orders")
+    rows = with_lineage(conform(job.source.read(contract), contract), SECOND)
+    announce(spark, table, SECOND, write_batch(spark, rows, contract, job.namespace, SECOND).folder)
+    before = _loaded(job, "orders")
+    switch(spark, table, SECOND)
+    return before.unionByName(_loaded(job, "orders"))
+
+
 def _appended(spark, sf_dir) -> Ingest:
     job = _load(_job(spark, ParquetSource(spark, sf_dir), WAREHOUSE, mode="append"), ["orders"])
     replace(job, run=SECOND).execute(["orders"], create=False)
@@ -311,7 +384,7 @@ def default_ingested_at(spark, sf_dir):
 @query
 def observed_counts(spark, sf_dir):
     """Rows counted while writing beside rows found in the table afterwards."""
-    tables = ["customer", "orders", "lineitem", "documents"]
+    tables = WAREHOUSE.tables
     job = _load(_job(spark, ParquetSource(spark, sf_dir), WAREHOUSE), tables)
     observed = read_audit(spark, job.namespace).select("table_name", "loaded_rows")
     found = counts({t: _loaded(job, t, batches=[FIRST.run_id]) for t in tables}, "target_rows")
@@ -443,7 +516,7 @@ def standardise_rejected(spark, sf_dir):
 @query
 def quality_nulls(spark, sf_dir):
     frames = _banking(spark, sf_dir)
-    return _union(quality.nulls(frames[t], BANKING[t]) for t in ("customers", "accounts", "transactions"))
+    return _union(quality.nulls(frames[c.name], c) for c in BANKING if c.required)
 
 
 @query
@@ -457,6 +530,19 @@ def quality_keys(spark, sf_dir):
     return quality.repeated_keys(_warehouse(spark, sf_dir)["lineitem"], WAREHOUSE["lineitem"])
 
 
+@query
+def quality_all_keys(spark, sf_dir):
+    """Every key of every table; banking keys are unique, line numbers are not everywhere."""
+    frames = _banking(spark, sf_dir) | _warehouse(spark, sf_dir)
+    return _union(
+        quality.repeated_keys(frames[c.name], c).select(
+            F.lit(c.name).alias("table_name"), F.concat_ws("|", *c.key).alias("key"), "n_rows"
+        )
+        for c in [*BANKING, *WAREHOUSE]
+        if c.key
+    )
+
+
 @query
 def quality_orphans(spark, sf_dir):
     """The fifteen references between the banking tables."""

@@ -77,6 +77,12 @@ def timestamps_with_statistics(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in whatever store Spark reaches it by."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, named by ``spark.checkpoint.dir``.
 

@@ -2,24 +2,36 @@
 
 from __future__ import annotations
 
+import logging
 import math
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from quayside.contracts import ContractError, Registry, TableContract
+from quayside.contracts import Registry, TableContract
 from quayside.operators.incremental import changed_since
 from quayside.sources.base import Source
-from quayside.sources.ranges import KeyRange, histogram_of, range_predicates, split_ranges
+from quayside.sources.ranges import (
+    KeyRange,
+    histogram_of,
+    ordered_predicates,
+    ordered_sql,
+    range_predicates,
+    split_ranges,
+)
+
+log = logging.getLogger(__name__)
 
 
 class JdbcSource(Source):
     """Tables of one schema, each read as disjoint ranges of its key.
 
-    Executors open one connection per range, ``max_connections`` at most.
-    Only names in the registry reach the SQL text.  The ranges are separate
-    statements, so a table that changes during the load is not one snapshot.
+    A range has about ``rows_per_range`` rows, however many ranges that makes.
+    Executors open one connection per running task, so the cores given to the
+    application bound the connections.  Only names in the registry reach the SQL
+    text.  The ranges are separate statements, so a table that changes during
+    the load is not one snapshot.
     """
 
     land_first = True
@@ -34,7 +46,6 @@ class JdbcSource(Source):
         properties: dict[str, str] | None = None,
         fetch_size: int = 50_000,
         rows_per_range: int = 1_000_000,
-        max_connections: int = 64,
     ):
         self.spark = spark
         self.url = url
@@ -42,7 +53,6 @@ class JdbcSource(Source):
         self.schema = schema
         self.properties = {**(properties or {}), "fetchsize": str(fetch_size)}
         self.rows_per_range = rows_per_range
-        self.max_connections = max_connections
 
     def address(self, table: str) -> str:
         return f"{self.schema}.{self.registry[table].name}"
@@ -78,27 +88,32 @@ class JdbcSource(Source):
         return self.spark.read.jdbc(self.url, address, predicates=predicates, properties=self.properties)
 
     def _predicates(self, contract: TableContract, window: str) -> list[str]:
-        address, keys = self.address(contract.name), _whole_number_keys(contract)
-        rows = int(self.query(f"SELECT COUNT(*) AS n FROM {address} WHERE {window}").first()["n"])
-        if rows <= self.rows_per_range:
-            return ["1 = 1"]
+        whole = _whole_number_keys(contract)
+        keys = [*whole, *(k for k in contract.key if k not in whole)]
         if not keys:
-            raise ContractError(f"{contract.name}: {rows} rows and no whole-number key to read ranges of")
-        return self._ranges(address, keys, window, max(self.rows_per_range, math.ceil(rows / self.max_connections)))
+            log.warning("[%s] has no key: it is read by one statement", contract.name)
+            return ["1 = 1"]
+        return self._ranges(contract, keys, window)
 
-    def _ranges(self, address: str, keys: list[str], window: str, per_range: int) -> list[str]:
+    def _ranges(self, contract: TableContract, keys: list[str], window: str) -> list[str]:
         """Ranges of the first key; a value with too many rows is cut by the next key."""
-        key, *others = keys
-        measures = f"MIN({key}) AS lo, MAX({key}) AS hi, COUNT({key}) AS n"
-        bounds = self.query(f"SELECT {measures} FROM {address} WHERE {window}").first()
-        if not bounds["n"]:
+        address, (key, *others) = self.address(contract.name), keys
+        measures = f"COUNT(*) AS n_all, COUNT({key}) AS n, MIN({key}) AS lo, MAX({key}) AS hi"
+        found = self.query(f"SELECT {measures} FROM {address} WHERE {window}").first()
+        if found["n_all"] <= self.rows_per_range or not found["n"]:
             return ["1 = 1"]
-        whole = KeyRange(int(bounds["lo"]), int(bounds["hi"]), int(bounds["n"]))
-        ranges = split_ranges(histogram_of(self.query, address, key, window), whole, per_range)
+        if isinstance(contract[key].type, T.LongType):
+            whole = KeyRange(int(found["lo"]), int(found["hi"]), int(found["n"]))
+            ranges = split_ranges(histogram_of(self.query, address, key, window), whole, self.rows_per_range)
+            hot = [str(r.lo) if r.rows > self.rows_per_range else None for r in ranges]
+            parts = list(zip(range_predicates(key, ranges), hot))
+        else:
+            shares = math.ceil(found["n"] / self.rows_per_range)
+            parts = ordered_predicates(key, self.query(ordered_sql(address, key, shares, window)).collect())
         statements = []
-        for part, predicate in zip(ranges, range_predicates(key, ranges)):
-            if others and part.rows > per_range:
-                finer = self._ranges(address, others, f"{window} AND {key} = {part.lo}", per_range)
+        for predicate, value in parts:
+            if others and value is not None:
+                finer = self._ranges(contract, others, f"{window} AND {key} = {value}")
                 statements += [f"({predicate}) AND ({f})" for f in finer]
             else:
                 statements.append(predicate)

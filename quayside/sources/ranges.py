@@ -39,6 +39,40 @@ def histogram_of(
     return histogram
 
 
+def ordered_sql(table: str, key: str, parts: int, window: str = "1 = 1") -> str:
+    """Rows and key bounds of equal shares of the rows in key order, for keys that are no numbers."""
+    return (
+        f"SELECT bucket, COUNT(*) AS n_rows, MIN(k) AS lo, MAX(k) AS hi FROM ("
+        f"SELECT {key} AS k, NTILE({parts}) OVER (ORDER BY {key}) AS bucket FROM {table} "
+        f"WHERE {key} IS NOT NULL AND {window}) b GROUP BY bucket ORDER BY bucket"
+    )
+
+
+def literal(value) -> str:
+    quoted = str(value).replace("'", "''")
+    return str(value) if isinstance(value, int) else f"'{quoted}'"
+
+
+def ordered_predicates(key: str, shares: list) -> list[tuple[str, str | None]]:
+    """Disjoint conditions that together hold for every row, also for new keys.
+
+    ``shares`` are rows of ``ordered_sql``, in order.  A value that fills a share
+    gets a condition of its own and is given beside it, to be cut by another key.
+    The source alone compares keys, so its order of texts need not be Python's.
+    """
+    starts = list(dict.fromkeys(s["lo"] for s in shares))
+    full = {s["lo"] for s in shares if s["lo"] == s["hi"] and s["n_rows"] > 1}
+    found = [(f"{key} < {literal(starts[0])} OR {key} IS NULL", None)]
+    for start, end in zip(starts, [*starts[1:], None]):
+        below = "" if end is None else f" AND {key} < {literal(end)}"
+        if start in full:
+            found.append((f"{key} = {literal(start)}", literal(start)))
+            found.append((f"{key} > {literal(start)}{below}", None))
+        else:
+            found.append((f"{key} >= {literal(start)}{below}", None))
+    return found
+
+
 def bucket_width(lo: int, hi: int, buckets: int) -> int:
     return max(1, math.ceil((hi - lo + 1) / buckets))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import run_on
 from quayside.contracts import Registry, TableContract, columns
+from quayside.operators import sinks
 from quayside.operators.catalog import TableMissing, create_tables, describe_columns, table_location, table_name
 from quayside.operators.conform import conform, with_lineage
 from quayside.operators.layout import TARGET_FILE_BYTES, cluster, file_count
@@ -40,13 +41,17 @@ def batches(spark, namespace):
     return {r["_ingestion_batch_id"]: r["count"] for r in found.collect()}
 
 
+def batch_folders(spark, namespace):
+    return Path(table_location(spark, table_name(namespace, "items")).removeprefix("file:") + "__batches")
+
+
 def test_truncate_replaces_every_earlier_date(spark, namespace):
     load(spark, items(spark, 5, run_on(1)), ITEMS, namespace, run_on(1), "append")
     load(spark, items(spark, 6, run_on(2)), ITEMS, namespace, run_on(2), "append")
     done = load(spark, items(spark, 4, run_on(3)), ITEMS, namespace, run_on(3), "truncate")
     assert (done.rows, done.high_water, done.unmarked) == (4, 3_000_000, 0)
     assert batches(spark, namespace) == {"batch-3": 4}
-    folder = Path(table_location(spark, table_name(namespace, "items")).removeprefix("file:"))
+    folder = batch_folders(spark, namespace)
     assert [p.name for p in folder.rglob("_ingestion_batch_id=*")] == ["_ingestion_batch_id=batch-3"]
 
 
@@ -82,6 +87,41 @@ def test_a_failing_load_leaves_the_table(spark, namespace):
     assert batches(spark, namespace) == {"batch-1": 5}
 
 
+def test_a_failing_attempt_at_a_published_run_leaves_its_rows(spark, namespace):
+    load(spark, items(spark, 5, run_on(1)), ITEMS, namespace, run_on(1))
+    bad = items(spark, 9, run_on(1)).withColumn(
+        "price", F.when(F.col("id") == 8, F.raise_error(F.lit("boom")).cast("decimal(18,2)"))
+    )
+    with pytest.raises(Exception, match="boom"):
+        load(spark, bad, ITEMS, namespace, run_on(1))
+    spark.sql(f"MSCK REPAIR TABLE {table_name(namespace, 'items')}")
+    assert batches(spark, namespace) == {"batch-1": 5}
+    load(spark, items(spark, 7, run_on(1)), ITEMS, namespace, run_on(1))
+    assert batches(spark, namespace) == {"batch-1": 7}
+    assert len(list(batch_folders(spark, namespace).rglob("_ingestion_batch_id=*"))) == 1
+
+
+@pytest.mark.parametrize("dies_in, seen", [("switch", "batch-1"), ("settle", "batch-2")])
+def test_a_truncation_that_dies_shows_one_batch_and_the_next_load_ends_it(spark, namespace, monkeypatch, dies_in, seen):
+    load(spark, items(spark, 5, run_on(1)), ITEMS, namespace, run_on(1))
+    calls, real = [], getattr(sinks, dies_in)
+
+    def dying(*given):
+        calls.append(given)
+        if dies_in == "switch" or len(calls) == 2:
+            raise RuntimeError("gone")
+        return real(*given)
+
+    monkeypatch.setattr(sinks, dies_in, dying)
+    with pytest.raises(RuntimeError, match="gone"):
+        load(spark, items(spark, 5, run_on(2)), ITEMS, namespace, run_on(2))
+    assert batches(spark, namespace) == {seen: 5}
+    monkeypatch.undo()
+    load(spark, items(spark, 3, run_on(3)), ITEMS, namespace, run_on(3), "append")
+    assert batches(spark, namespace) == {seen: 5, "batch-3": 3}
+    assert spark.table(table_name(namespace, "items")).count() == 8
+
+
 def test_no_rows_is_a_load(spark, namespace):
     done = load(spark, items(spark, 0, run_on(1)), ITEMS, namespace, run_on(1))
     assert (done.rows, done.high_water) == (0, None)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from functools import reduce
 from pathlib import Path
 
@@ -26,7 +27,8 @@ CODES = TableContract("codes", columns("code string\nupdated_at timestamp"), key
 LINES = TableContract(
     "lines", columns("id bigint\nline bigint\nupdated_at timestamp"), key=("id", "line"), cluster=("id",)
 )
-PACK = Registry("pack", (ITEMS, CODES, LINES))
+NOTES = TableContract("notes", columns("code string\nkind string\nupdated_at timestamp"), key=("code", "kind"))
+PACK = Registry("pack", (ITEMS, CODES, LINES, NOTES))
 
 
 class SqlSource(JdbcSource):
@@ -53,6 +55,10 @@ def database(spark):
     spark.range(3).selectExpr("cast(id as string) AS code", "timestamp_seconds(id) AS updated_at").write.saveAsTable(
         f"{name}.codes"
     )
+    # One code holds a third of the notes.
+    spark.range(900).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('c', id)) AS code", "concat('k', id) AS kind", "timestamp_seconds(id) AS updated_at"
+    ).write.saveAsTable(f"{name}.notes")
     # One id holds a third of the lines.
     spark.range(900).selectExpr(
         "if(id % 3 = 0, 7L, id) AS id", "id AS line", "timestamp_seconds(id) AS updated_at"
@@ -83,11 +89,10 @@ def test_a_hot_value_is_cut_by_the_next_key(spark, database):
     assert max(sizes) <= 61
 
 
-def test_connections_are_bounded(spark, database):
-    jdbc = source(spark, database, rows_per_range=1, max_connections=4)
+def test_ranges_follow_the_rows_however_many(spark, database):
+    jdbc = source(spark, database, rows_per_range=10)
     jdbc.read(ITEMS)
-    assert 4 <= len(jdbc.predicates) <= 8
-    assert jdbc.read(ITEMS).count() == 1505
+    assert 151 <= len(jdbc.predicates) <= 302
 
 
 def test_a_small_table_is_one_statement(spark, database):
@@ -96,9 +101,26 @@ def test_a_small_table_is_one_statement(spark, database):
     assert jdbc.predicates == ["1 = 1"]
 
 
-def test_a_large_table_without_a_numeric_key_is_refused(spark, database):
-    with pytest.raises(ContractError, match="whole-number key"):
-        source(spark, database, rows_per_range=2).read(CODES)
+def test_a_table_without_a_numeric_key_is_read_in_ranges_of_its_text(spark, database):
+    jdbc = source(spark, database, rows_per_range=2)
+    assert sorted(r["code"] for r in jdbc.read(CODES).collect()) == ["0", "1", "2"]
+    sizes = [spark.table(f"{database}.codes").where(p).count() for p in jdbc.predicates]
+    assert (sum(sizes), max(sizes)) == (3, 2)
+
+
+def test_a_hot_text_is_cut_by_the_next_key(spark, database):
+    jdbc = source(spark, database, rows_per_range=60)
+    found = jdbc.read(NOTES)
+    assert found.select("code", "kind").distinct().count() == found.count() == 900
+    sizes = [spark.table(f"{database}.notes").where(p).count() for p in jdbc.predicates]
+    assert sum(sizes) == 900
+    assert max(sizes) <= 120
+
+
+def test_a_table_without_a_key_is_one_statement(spark, database):
+    jdbc = source(spark, database, rows_per_range=2)
+    assert jdbc.read(replace(CODES, key=())).count() == 3
+    assert jdbc.predicates == ["1 = 1"]
 
 
 def test_counts_and_probe(spark, database):
@@ -122,7 +144,7 @@ def test_a_jdbc_load_needs_no_shuffle_when_read_by_its_cluster_key(spark, databa
     assert jdbc.ranged_by(ITEMS) == ITEMS.cluster
     job = Ingest(spark, jdbc, PACK, *place, run=run_on(1))
     audit = {r["table_name"]: r for r in job.execute().collect()}
-    assert {t: r["loaded_rows"] for t, r in audit.items()} == {"items": 1505, "codes": 3, "lines": 900}
+    assert {t: r["loaded_rows"] for t, r in audit.items()} == {"items": 1505, "codes": 3, "lines": 900, "notes": 900}
     assert read_table(spark, place[0], ITEMS).select("id").distinct().count() == 1505
 
 
