@@ -223,25 +223,33 @@ def _all_pairs(postings: DataFrame) -> DataFrame:
 def _differences(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """How each member of a list that is still open differs from the list's leader.
 
-    The leader is the most central member of the list's most frequent component;
+    The leader is the most central class of the list's most frequent component,
+    the same for all lists of that component, so a member is read once for it.
     ``apart`` marks members outside of it.  ``weight`` grows with the difference,
     ``slack`` is the weight up to which a member is alike to the leader.
     """
-    held = postings.join(_majors(postings), "token")
+    majors = _majors(postings)
+    central = F.struct((-F.col("central")).alias("order"), "class")
     leaders = (
-        held.where("component = major")
-        .groupBy("token")
-        .agg(F.min(F.struct((-F.col("central")).alias("order"), "class"))["class"].alias("leader"))
+        postings.join(majors, "token")
+        .where("component = major")
+        .groupBy("major")
+        .agg(F.min(central)["class"].alias("leader"))
     )
     members = (
-        held.join(leaders, "token")
+        postings.join(majors.join(leaders, "major"), "token")
         .where("class <> leader")
         .select("leader", "class", "n_shingles", "component", (F.col("component") != F.col("major")).alias("apart"))
         .distinct()
     )
-    read = members.join(sets, "class").join(
-        sets.select(F.col("class").alias("leader"), F.col("shingles").alias("leading")), "leader"
+    # Written, so that its size is known and it may be sent to the members.
+    leading = written(
+        sets.select(F.col("class").alias("leader"), F.col("shingles").alias("leading")).join(
+            leaders.select("leader"), "leader", "left_semi"
+        ),
+        "leading",
     )
+    read = members.join(sets, "class").join(leading, "leader")
     gone, more = F.array_except("leading", "shingles"), F.array_except("shingles", "leading")
     return read.select(
         "leader",
@@ -249,6 +257,7 @@ def _differences(postings: DataFrame, sets: DataFrame, similarity: int) -> DataF
         "n_shingles",
         "component",
         "apart",
+        F.size("leading").cast("bigint").alias("leader_size"),
         F.concat(gone, more).alias("differs"),
         (100 * F.size(gone) + similarity * F.size(more)).cast("bigint").alias("weight"),
         ((100 - similarity) * F.size("leading")).cast("bigint").alias("slack"),
@@ -261,10 +270,11 @@ def _open_pairs(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFr
     With the leader L of the list, A = L - r(A) + d(A), so A and B have
     |L| - |r(A)| - |r(B)| in common, and what their differences from L share.  Sets
     that are alike must then share at least (weight(A) + weight(B) - slack) /
-    (100 + similarity) of these differences, and that is positive where A is
-    outside the leader's component.  So differences are posted instead of sets:
-    two changed copies of one text share the text but rarely their changes.
-    Of each member only the rarest, as many as must hold a shared one, are merged.
+    (100 + similarity) of these differences, and that is positive unless both
+    are alike to L.  So members apart are compared with L, and differences are
+    posted instead of sets: two changed copies of one text share the text but
+    rarely their changes.  Of each member only the rarest, as many as must hold a
+    shared one, are merged, and only where enough of both are left behind them.
     """
     apart = written(_differences(postings, sets, similarity), "differences")
     least = apart.groupBy("leader").agg(
@@ -305,18 +315,25 @@ def _open_pairs(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFr
             "leader",
             *(F.col(c).alias(f"{side}_{c}") for c in fields),
             *([F.col("slack")] if side == "a" else []),
-            F.explode(F.slice("held", F.lit(1), room.cast("int"))["change"]).alias("change"),
+            F.size("held").alias(f"{side}_held"),
+            F.posexplode(F.slice("held", F.lit(1), room.cast("int"))["change"]).alias(f"{side}_at", "change"),
         )
 
     must = shared(F.col("a_weight") + F.col("b_weight"))
-    return (
+    # The first difference that two members share has all others behind it, in both.
+    behind = F.least(F.col("a_held") - F.col("a_at"), F.col("b_held") - F.col("b_at"))
+    beside_leader = apart.where("apart").select(
+        F.col("class").alias("a"), F.col("leader").alias("b"), F.col("n_shingles").alias("a_size"), F.col("leader_size").alias("b_size")
+    )
+    pairs = (
         posted("a", "any")
         .where("a_apart")
         .join(posted("b", "other"), ["leader", "change"])
         .where("a_component <> b_component AND (NOT b_apart OR a_class < b_class)")
-        .where(must <= F.least("a_n", "b_n"))
+        .where(must <= behind)
         .selectExpr(*_PAIR)
     )
+    return pairs.unionByName(beside_leader)
 
 
 def _colliding(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
