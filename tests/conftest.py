@@ -3,7 +3,6 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
-from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
@@ -11,10 +10,6 @@ from pyspark.sql import SparkSession
 
 sys.path[:0] = [str(Path(__file__).parents[1]), str(Path(__file__).parent)]
 
-from quayside.operators.conform import Run  # noqa: E402
-
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -39,7 +34,3 @@ def place(spark):
     """A namespace of its own and where its tables go."""
     name = f"t_{uuid.uuid4().hex}"
     return name, f"{spark.conf.get('spark.checkpoint.dir')}/{name}"
-
-
-def run_on(day: int, batch: str | None = None) -> Run:
-    return Run("test", batch or f"batch-{day}", datetime(2024, 1, day, 12, tzinfo=timezone.utc))

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import run_on
+from runs import run_on
 from quayside.contracts import ContractError, TableContract, columns
 from quayside.contracts.banking import BANKING
 from quayside.operators.conform import check_columns, conform, with_lineage

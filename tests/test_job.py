@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF, run_on
+from runs import SF, run_on
 from quayside.contracts.banking import BANKING
 from quayside.contracts.warehouse import WAREHOUSE
 from quayside.operators.layout import scan_bytes

@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import run_on
+from runs import run_on
 from quayside.contracts import Registry, TableContract, columns
 from quayside.operators import sinks
 from quayside.operators.catalog import TableMissing, create_tables, describe_columns, table_location, table_name

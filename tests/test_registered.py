@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, difference
-from conftest import SF
+from runs import SF
 from quayside.plans.oracles import oracles
 from quayside.plans.registered import registered
 

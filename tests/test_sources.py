@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conftest import SF, run_on
+from runs import SF, run_on
 from quayside.contracts import ContractError, Registry, TableContract, columns
 from quayside.contracts.warehouse import WAREHOUSE
 from quayside.operators.sinks import read_table
