@@ -2,72 +2,48 @@
 
 from __future__ import annotations
 
-import math
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.functions.frames import hot_keys
-from quayside.session import shared_folder
+from quayside.functions.ranks import PLACE, RANGE, in_ranges
 
 _KEY = "transaction_id"
 _ORDER = ["event_time", "event_id", "new_status", "old_status"]
 
-#: Events of one transaction up to which one task may walk them.
-EVENTS_PER_TASK = 1_000_000
-
 
-def chain_breaks(events: DataFrame, events_per_task: int = EVENTS_PER_TASK) -> DataFrame:
+def chain_breaks(events: DataFrame, ranges: int | None = None) -> DataFrame:
     """Events whose ``old_status`` is not the transaction's previous ``new_status``.
 
-    The first event of a transaction must have none.  Transactions with more
-    events than one task should walk are cut into ranges of time.
+    The first event of a transaction must have none.  All histories are laid end to
+    end and cut into ranges, so one of any length is walked by many tasks; each
+    range gets the last event before it, one row, from the ranges before.
     """
-    hot = hot_keys(events, [_KEY], events_per_task)
-    in_hot = hot.agg(F.sum("n_rows")).first()[0]
-    if in_hot is None:
-        chained = _with_previous(events)
-    else:
-        # Written once: the keys are few, and their files tell Spark so.
-        folder = f"{shared_folder(events.sparkSession)}/history-{uuid.uuid4()}"
-        hot.select(F.col(_KEY).alias("_hot")).write.parquet(f"{folder}/keys")
-        keys = events.sparkSession.read.parquet(f"{folder}/keys")
-        is_hot = events[_KEY].eqNullSafe(keys["_hot"])
-        ranges = 2 * math.ceil(in_hot / events_per_task)
-        long = _with_previous_by_ranges(events.join(keys, is_hot, "left_semi"), ranges, f"{folder}/ranges")
-        chained = long.unionByName(_with_previous(events.join(keys, is_hot, "left_anti")))
+    ranges = ranges or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = in_ranges(events, [F.col(c) for c in (_KEY, *_ORDER)], ranges)
+    walk = Window.partitionBy(RANGE).orderBy(PLACE)
+    walked = placed.withColumns(
+        {
+            "_same": F.lag(F.struct(_KEY)).over(walk) == F.struct(_KEY),
+            "_previous": F.lag("new_status").over(walk),
+        }
+    )
+    carried = _carried(placed)
+    first = F.col(PLACE) == 0
+    previous = F.when(first & F.col("_of").eqNullSafe(F.col(_KEY)) & F.col("_carried"), F.col("_last")).when(
+        ~first & F.col("_same"), F.col("_previous")
+    )
+    chained = walked.join(F.broadcast(carried), RANGE, "left").withColumn("expected_status", previous)
     broken = chained.where(~F.col("old_status").eqNullSafe(F.col("expected_status")))
     return broken.select(*events.columns, "expected_status")
 
 
-def _with_previous(events: DataFrame) -> DataFrame:
-    walk = Window.partitionBy(_KEY).orderBy(*_ORDER)
-    return events.withColumn("expected_status", F.lag("new_status").over(walk))
-
-
-def _with_previous_by_ranges(events: DataFrame, ranges: int, folder: str) -> DataFrame:
-    """The same, one task per range of (transaction, time) and the ends joined.
-
-    The ranges are written down: range bounds are sampled, and both uses of
-    them below must see the same ones, also after a lost task ran again.
-    """
-    (
-        events.withColumn("_split", F.spark_partition_id())
-        .repartitionByRange(ranges, _KEY, *_ORDER, "_split")
-        .drop("_split")
-        .withColumn("_range", F.spark_partition_id())
-        .write.parquet(folder)
-    )
-    placed = events.sparkSession.read.parquet(folder)
-
-    walk = Window.partitionBy("_range", _KEY).orderBy(*_ORDER)
-    walked = placed.withColumns({"_previous": F.lag("new_status").over(walk), "_place": F.row_number().over(walk)})
-    last = placed.groupBy("_range", _KEY).agg(F.max_by("new_status", F.struct(*_ORDER)).alias("_last"))
-    earlier = Window.partitionBy(_KEY).orderBy("_range")
-    before = last.select(
-        F.col("_range").alias("_at"), F.col(_KEY).alias("_of"), F.lag("_last").over(earlier).alias("_before")
-    )
-    same = (walked["_range"] == before["_at"]) & walked[_KEY].eqNullSafe(before["_of"])
-    first_or_previous = F.when(F.col("_place") == 1, F.col("_before")).otherwise(F.col("_previous"))
-    return walked.join(before, same).select(*events.columns, first_or_previous.alias("expected_status"))
+def _carried(placed: DataFrame) -> DataFrame:
+    """For each range the last event of the ranges before it: its transaction and status."""
+    ends = placed.groupBy(RANGE).agg(F.max_by(F.struct(_KEY, "new_status"), PLACE).alias("end")).collect()
+    rows, before = [], None
+    for r in sorted(ends, key=lambda r: r[RANGE]):
+        if before is not None:
+            rows.append((r[RANGE], True, before[_KEY], before["new_status"]))
+        before = r["end"]
+    kind = placed.schema[_KEY].dataType.simpleString()
+    return placed.sparkSession.createDataFrame(rows, f"{RANGE} int, _carried boolean, _of {kind}, _last string")

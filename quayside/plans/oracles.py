@@ -100,6 +100,17 @@ def _orphans(table: str, ref) -> str:
     )
 
 
+def _shares(table: str, key: str, parts: int) -> str:
+    return f"""
+        SELECT '{key}' AS key, CAST((rows_before // size) AS BIGINT) AS bucket, CAST(sum(n) AS BIGINT) AS n_rows,
+               min(k) AS lo, max(k) AS hi
+        FROM (SELECT *, coalesce(sum(n) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                     AS rows_before,
+                     CAST(ceil((SELECT count({key}) FROM {table}) / {parts}.0) AS BIGINT) AS size
+              FROM (SELECT {key} AS k, count(*) AS n FROM {table} WHERE {key} IS NOT NULL GROUP BY 1) c) r
+        GROUP BY rows_before // size, n >= size"""
+
+
 def _columns_of(contract: TableContract) -> list[str]:
     rows = []
     for column in contract.columns:
@@ -133,6 +144,7 @@ def oracles() -> dict[str, str]:
         "scan_ranges": "SELECT 1 AS statements, count(*) AS n_rows FROM lineitem",
         "scan_text_ranges": "SELECT 1 AS statements, count(*) AS n_rows FROM customer",
         "scan_hot_ranges": "SELECT 1 AS statements, count(*) AS n_rows FROM orders",
+        "scan_text_shares": f"{_shares('customer', 'c_name', 16)} UNION ALL {_shares('lineitem', 'l_returnflag', 5)}",
         "source_counts": _counts(WAREHOUSE.tables),
         "empty_batch_append": f"""
             SELECT '{FIRST.run_id}' AS run_id, count(*) AS loaded_rows, 6 AS n_columns, 'OK' AS status,

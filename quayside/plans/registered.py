@@ -36,7 +36,7 @@ from quayside.sources.ranges import (
     histogram_of,
     histogram_sql,
     ordered_predicates,
-    ordered_sql,
+    ordered_shares,
     range_predicates,
     split_ranges,
 )
@@ -130,7 +130,7 @@ def scan_ranges(spark, sf_dir):
 
 def _statements_per_row(df: DataFrame, key: str, parts: int) -> DataFrame:
     """Rows by how many statements of a parallel read by this key would read them."""
-    shares = df.sparkSession.sql(ordered_sql("{rows}", key, parts), rows=df).collect()
+    shares = ordered_shares(df, key, parts).orderBy("lo").collect()
     hits = [F.coalesce(F.expr(p).cast("int"), F.lit(0)) for p, _ in ordered_predicates(key, shares)]
     return df.groupBy(sum(hits, F.lit(0)).alias("statements")).agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -147,6 +147,15 @@ def scan_hot_ranges(spark, sf_dir):
     return _statements_per_row(ParquetSource(spark, sf_dir).read(WAREHOUSE["orders"]), "o_orderstatus", 16)
 
 
+@query
+def scan_text_shares(spark, sf_dir):
+    """The shares themselves, of names that are all different and of few values that hold all rows."""
+    source = ParquetSource(spark, sf_dir)
+    names = ordered_shares(source.read(WAREHOUSE["customer"]), "c_name", 16)
+    modes = ordered_shares(source.read(WAREHOUSE["lineitem"]), "l_returnflag", 5)
+    return names.withColumn("key", F.lit("c_name")).unionByName(modes.withColumn("key", F.lit("l_returnflag")))
+
+
 @query
 def source_counts(spark, sf_dir):
     source = ParquetSource(spark, sf_dir)

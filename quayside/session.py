@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -96,3 +97,11 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="run-", dir="/tmp")
     raise SessionError("set spark.checkpoint.dir to a folder shared by all executors")
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate rows; it goes when the application ends."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

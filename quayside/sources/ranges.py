@@ -1,4 +1,4 @@
-"""Splitting a whole-number key into ranges of about equal row counts."""
+"""Splitting a key into ranges of about equal row counts."""
 
 from __future__ import annotations
 
@@ -7,6 +7,9 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quayside.functions.ranks import in_ranges, running
 
 #: Buckets asked for in one histogram; bounds what reaches the driver.
 MAX_BUCKETS = 1024
@@ -48,6 +51,26 @@ def ordered_sql(table: str, key: str, parts: int, window: str = "1 = 1") -> str:
     )
 
 
+def ordered_shares(df: DataFrame, key: str, parts: int, ranges: int | None = None) -> DataFrame:
+    """The same for rows that Spark holds, as ``bucket, n_rows, lo, hi``; no task sees all rows.
+
+    Rows are counted by key first, so a value with many rows is one row from there
+    on.  A value that fills a share has it to itself; others are in the share
+    in which their first row lies.
+    """
+    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = in_ranges(counts, [F.col("k")], ranges)
+    total = placed.agg(F.sum("n")).first()[0] or 0
+    size = max(1, math.ceil(total / parts))
+    return (
+        running(placed, "n", "before")
+        .groupBy(F.expr(f"before div {size}").alias("bucket"), (F.col("n") >= size).alias("full"))
+        .agg(F.sum("n").alias("n_rows"), F.min("k").alias("lo"), F.max("k").alias("hi"))
+        .drop("full")
+    )
+
+
 def literal(value) -> str:
     quoted = str(value).replace("'", "''")
     return str(value) if isinstance(value, int) else f"'{quoted}'"
@@ -56,7 +79,7 @@ def literal(value) -> str:
 def ordered_predicates(key: str, shares: list) -> list[tuple[str, str | None]]:
     """Disjoint conditions that together hold for every row, also for new keys.
 
-    ``shares`` are rows of ``ordered_sql``, in order.  A value that fills a share
+    ``shares`` are rows of ``ordered_sql`` or ``ordered_shares``, in order.  A value that fills a share
     gets a condition of its own and is given beside it, to be cut by another key.
     The source alone compares keys, so its order of texts need not be Python's.
     """

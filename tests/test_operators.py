@@ -4,11 +4,13 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quayside.contracts import Reference, Registry, Rule, TableContract, columns
 from quayside.functions import frames
 from quayside.functions.frames import lookup_join
+from quayside.functions.ranks import in_ranges, ranked
 from quayside.operators import quality
 from quayside.operators.dedup import latest
 from quayside.operators.history import chain_breaks
@@ -17,6 +19,7 @@ from quayside.operators.money import round_to_currency
 from quayside.operators.reconcile import counts, reconcile
 from quayside.operators.standardise import accepted, rejected, standardise
 from quayside.operators.summaries import branch_balances, customer_balances
+from quayside.sources.ranges import ordered_predicates, ordered_shares
 
 
 def plan(df):
@@ -139,27 +142,62 @@ def test_first_event_has_no_old_status(spark):
     assert [(r["event_id"], r["expected_status"]) for r in chain_breaks(df).collect()] == [(3, None)]
 
 
-@pytest.mark.parametrize("limit", [1, 7, 30, 70])
-def test_long_histories_cut_into_ranges_give_the_same_breaks(spark, limit):
+def by_lag(events):
+    """Breaks by a plain window over each transaction."""
+    walk = Window.partitionBy("transaction_id").orderBy("event_time", "event_id", "new_status", "old_status")
+    chained = events.withColumn("expected_status", F.lag("new_status").over(walk))
+    return chained.where(~F.col("old_status").eqNullSafe(F.col("expected_status")))
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 8, 40])
+def test_histories_cut_into_ranges_give_the_breaks_of_a_window(spark, ranges):
     events = history(spark)
-    whole = chain_breaks(events)
-    assert not whole.isEmpty()
-    assert bag(chain_breaks(events, events_per_task=limit)) == bag(whole)
+    assert not by_lag(events).isEmpty()
+    assert bag(chain_breaks(events, ranges)) == bag(by_lag(events))
+
+
+def test_one_hot_transaction_is_walked_by_many_tasks(spark):
+    events = history(spark, 300).withColumn("transaction_id", F.lit(5).cast("long"))
+    assert bag(chain_breaks(events, 16)) == bag(by_lag(events))
+    placed = in_ranges(events, [F.col("transaction_id"), F.col("event_time"), F.col("event_id")], 16)
+    assert placed.select("_range").distinct().count() > 8
 
 
 def test_copies_of_an_event_survive_the_cut(spark):
     events = history(spark, 60)
     copied = events.unionByName(events).unionByName(events.where("transaction_id = 0"))
-    assert bag(chain_breaks(copied, events_per_task=5)) == bag(chain_breaks(copied))
+    assert bag(chain_breaks(copied, 9)) == bag(by_lag(copied))
+    assert chain_breaks(events.limit(0)).count() == 0
 
 
 def test_events_of_no_transaction_are_cut_too(spark):
     events = history(spark, 90).withColumn(
         "transaction_id", F.when(F.col("transaction_id") != 0, F.col("transaction_id"))
     )
-    whole = chain_breaks(events)
-    assert not whole.where("transaction_id IS NULL").isEmpty()
-    assert bag(chain_breaks(events, events_per_task=7)) == bag(whole)
+    assert not by_lag(events).where("transaction_id IS NULL").isEmpty()
+    assert bag(chain_breaks(events, 7)) == bag(by_lag(events))
+
+
+def test_ranks_of_rows_with_ties(spark):
+    df = spark.range(0, 1000, 1, 7).select(F.expr("CASE WHEN id % 3 = 0 THEN 5 ELSE id % 50 END").alias("k"), "id")
+    got = ranked(df, [F.col("k").desc()], 9).orderBy("rank").collect()
+    assert [r["rank"] for r in got] == list(range(1, 1001))
+    assert [r["k"] for r in got] == sorted((r["k"] for r in got), reverse=True)
+    assert sorted(r["id"] for r in got) == list(range(1000))
+    assert ranked(df.limit(0), [F.col("k")], 9).count() == 0
+
+
+def test_shares_of_a_text_key(spark):
+    values = ["a"] * 3 + ["hot"] * 500 + [f"x{i:03}" for i in range(200)] + [None] * 9
+    df = spark.createDataFrame([(v,) for v in values], "k string").repartition(6)
+    shares = ordered_shares(df, "k", 10, 5).orderBy("lo").collect()
+    assert sum(s["n_rows"] for s in shares) == 703
+    assert ("hot", "hot", 500) in {(s["lo"], s["hi"], s["n_rows"]) for s in shares}
+    assert all(s["n_rows"] <= 2 * 71 or s["lo"] == s["hi"] for s in shares)
+    assert all(a["hi"] < b["lo"] for a, b in zip(shares, shares[1:]))
+    statements = [p for p, _ in ordered_predicates("k", shares)]
+    hits = df.select(sum((F.coalesce(F.expr(p).cast("int"), F.lit(0)) for p in statements), F.lit(0)).alias("n"))
+    assert {r["n"] for r in hits.collect()} == {1}
 
 
 def test_amounts_round_to_their_currency(spark):
