@@ -1,3 +1,55 @@
 """The same in SQL, where SQL can say it."""
 
-SQL: dict[str, str] = {}
+#: Words of a lower-cased text.
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all(coalesce({_LOWER}, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: CRC-32 of the numbers 0 to 15, as fixed by its polynomial: a step for four bits.
+_CRC_OF_FOUR_BITS = """[
+    0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+    3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]"""
+
+#: The four bits of every byte of a feature, low ones first.
+_FOURS = """list_transform(range(0, CAST(2 * octet_length(encode(feature)) AS BIGINT)),
+    lambda i: CAST(strpos('0123456789ABCDEF', hex(encode(feature))[i + 2 - 2 * (i % 2)]) - 1 AS BIGINT))"""
+
+_BUCKET = f"""CAST(xor(list_reduce({_FOURS},
+    lambda c, v: xor(c >> 4, {_CRC_OF_FOUR_BITS}[(xor(c, v) & 15) + 1]), CAST(4294967295 AS BIGINT)),
+    4294967295) % 10000 AS BIGINT)"""
+
+
+def _features(table: str, key: str) -> str:
+    """Features of one to three words, one row each."""
+    return f"""
+        SELECT {key}, unnest(list_concat(w,
+            list_transform(range(1, CAST(len(w) AS BIGINT)), lambda i: w[i] || ' ' || w[i + 1]),
+            list_transform(range(1, CAST(len(w) - 1 AS BIGINT)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS feature
+        FROM (SELECT {key}, {_WORDS} AS w FROM {table}) t"""
+
+
+SQL: dict[str, str] = {
+    "op11_resampling": f"""
+        WITH own AS (SELECT doc_id, feature, count(*) AS n FROM ({_features('documents', 'doc_id')}) f GROUP BY ALL),
+        wanted AS (SELECT feature, count(*) AS n FROM ({_features('benchmark', 'item_id')}) f GROUP BY ALL),
+        named AS (SELECT feature, {_BUCKET} AS bucket
+                  FROM (SELECT feature FROM own UNION SELECT feature FROM wanted) d),
+        s AS (SELECT bucket, sum(n) AS n FROM own JOIN named USING (feature) GROUP BY ALL),
+        t AS (SELECT bucket, sum(n) AS n FROM wanted JOIN named USING (feature) GROUP BY ALL),
+        gains AS (
+            SELECT bucket, CAST(floor(1000 * ln(
+                CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST((SELECT sum(n) FROM s) + 10000 AS DOUBLE)
+                / (CAST(s.n + 1 AS DOUBLE) * CAST((SELECT sum(n) FROM t) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+            FROM s LEFT JOIN t USING (bucket)),
+        weights AS (SELECT doc_id, sum(n) AS n_features, sum(n * gain) AS weight
+                    FROM own JOIN named USING (feature) JOIN gains USING (bucket) GROUP BY ALL),
+        scored AS (
+            SELECT d.doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+                   CAST(coalesce(weight, 0) AS BIGINT) AS weight, len({_WORDS}) >= 20 AS enough,
+                   CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                       (CAST('0x' || sha256('42:' || d.doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+            FROM documents d LEFT JOIN weights w ON d.doc_id = w.doc_id),
+        drawn AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE enough)
+        SELECT s.doc_id, n_features, weight, score,
+               CASE WHEN rank <= 5 * (SELECT count(*) FROM drawn) // 100 THEN CAST(rank AS BIGINT) END AS rank
+        FROM scored s LEFT JOIN drawn r ON s.doc_id = r.doc_id""",
+}

@@ -17,6 +17,7 @@ from quayside.llm import (
     perspectives,
     quality,
     repeats,
+    resampling,
     sentencepiece,
     sentences,
 )
@@ -67,6 +68,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,5 +86,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_perspectives,
         op9_repeats,
         op10_language,
+        op11_resampling,
     )
 }
