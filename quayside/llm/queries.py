@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm import (
     fingerprints,
+    hard_negatives,
     language,
     near_dedup,
     neighbours,
@@ -73,6 +74,10 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,5 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_repeats,
         op10_language,
         op11_resampling,
+        op12_hard_negatives,
     )
 }
