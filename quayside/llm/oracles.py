@@ -72,4 +72,23 @@ SQL: dict[str, str] = {
         FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id
         WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
         QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10""",
+    "op13_decontamination": f"""
+        WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        windows AS (
+            SELECT item_id, unnest(CASE WHEN len(w) < 10 THEN [w]
+                ELSE list_transform(range(1, CAST(len(w) - 8 AS BIGINT)), lambda i: w[i:i + 9]) END) AS words
+            FROM items WHERE len(w) > 0),
+        docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        sizes AS (SELECT DISTINCT len(words) AS size FROM windows),
+        runs AS (
+            SELECT doc_id, pos, size, w[pos:pos + size - 1] AS words
+            FROM (SELECT doc_id, w, size, unnest(range(1, CAST(len(w) - size + 2 AS BIGINT))) AS pos FROM docs, sizes) r),
+        found AS (SELECT doc_id, pos, size, item_id FROM runs JOIN windows USING (words)),
+        hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+                FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS place FROM found) p GROUP BY ALL),
+        met AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+                FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) i GROUP BY ALL)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN met m ON d.doc_id = m.doc_id""",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import (
+    decontamination,
     fingerprints,
     hard_negatives,
     language,
@@ -78,6 +79,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,5 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_language,
         op11_resampling,
         op12_hard_negatives,
+        op13_decontamination,
     )
 }
