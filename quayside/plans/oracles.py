@@ -8,7 +8,7 @@ from quayside.contracts import Registry, TableContract
 from quayside.contracts.banking import BANKING
 from quayside.contracts.warehouse import WAREHOUSE
 from quayside.plans.banking_shape import shape_sql
-from quayside.plans.registered import CUTOFF, FIRST, SECOND
+from quayside.plans.registered import CUTOFF, FIRST, SECOND, THIRD
 
 _SQL_TYPES = {
     T.LongType: "BIGINT",
@@ -218,6 +218,21 @@ def oracles() -> dict[str, str]:
             UNION ALL SELECT '{SECOND.run_id}', * FROM ({_ok(0, 'orders')}) d""",
         "incremental_load": f"{_loaded(orders, 'orders')} WHERE o_orderdate <= {cutoff} UNION ALL "
         f"{_loaded(orders, 'orders', SECOND)} WHERE o_orderdate > {cutoff}",
+        "content_audit": """
+            SELECT o_orderkey, CASE o_orderkey % 100 WHEN 3 THEN 'extra' ELSE 'changed' END AS kind,
+                   CAST(CASE o_orderkey % 100 WHEN 3 THEN 0 WHEN 4 THEN 2 ELSE 1 END AS BIGINT) AS left_rows,
+                   CAST(1 AS BIGINT) AS right_rows
+            FROM orders WHERE o_orderkey % 100 BETWEEN 1 AND 4""",
+        "content_of_loads": " UNION ALL ".join(
+            f"SELECT '{c.name}' AS table_name, CAST(0 AS BIGINT) AS n_differences" for c in WAREHOUSE if c.key
+        ),
+        "swept_rows": f"""
+            {_loaded(orders, 'orders')} WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0
+            UNION ALL {_loaded(orders, "(SELECT * REPLACE ('X' AS o_orderstatus) FROM orders) x", SECOND)}
+            WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0 AND o_orderdate = (SELECT max(o_orderdate) FROM orders)
+            UNION ALL {_loaded(orders, "(SELECT * REPLACE ('X' AS o_orderstatus) FROM orders) x", THIRD)}
+            WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0 AND o_orderdate < (SELECT max(o_orderdate) FROM orders)""",
+        "vanished_keys": f"SELECT o_orderkey, {', '.join(_lineage(THIRD))} FROM orders WHERE o_orderkey % 7 = 0",
         "dedup_latest": f"""
             SELECT * EXCLUDE (r, q, p, d, t) FROM (
                 SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC,
