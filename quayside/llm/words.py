@@ -10,6 +10,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from quayside.llm.arrays import LOWER, flat, runs
 
@@ -31,14 +32,25 @@ class Words(NamedTuple):
         return np.searchsorted(self.of, np.arange(texts + 1))
 
 
+def coded(spelled: np.ndarray, sizes: np.ndarray) -> pa.DictionaryArray:
+    """Strings of given sizes, laid end to end, as numbers of the different ones."""
+    bounds = np.zeros(len(sizes) + 1, np.int32)
+    np.cumsum(sizes, out=bounds[1:])
+    whole = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(spelled)])
+    return whole.dictionary_encode()
+
+
+def hashes(spelled: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """128-bit hashes of such strings, two numbers each; of a hash that has no known structure."""
+    found = coded(spelled, sizes)
+    digests = b"".join(xxhash.xxh3_128_digest(form.as_py()) for form in found.dictionary)
+    return np.frombuffer(digests, np.uint64).reshape(-1, 2)[found.indices.to_numpy()]
+
+
 def words_of(texts: pa.Array) -> Words:
     """Null texts have no words."""
     data, offsets = flat(texts)
     inside = IN_WORD[data]
     start, end, of = runs(inside, offsets)
-    bounds = np.zeros(len(start) + 1, np.int32)
-    np.cumsum(end - start, out=bounds[1:])
-    spelled = pa.py_buffer(LOWER[data[inside]])
-    whole = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(bounds), spelled])
-    coded = whole.dictionary_encode()
-    return Words(coded.indices.to_numpy().astype(np.int64), of, start, end, coded.dictionary)
+    found = coded(LOWER[data[inside]], end - start)
+    return Words(found.indices.to_numpy().astype(np.int64), of, start, end, found.dictionary)

@@ -3,20 +3,47 @@ from __future__ import annotations
 import random
 import re
 
-from quayside.llm.sentences import remove_repeats
+import numpy as np
+import pytest
+import xxhash
+
+from quayside.llm.sentences import remove_repeats, spans, split
 
 WORD = re.compile(r"[^ \t\n\v\f\r]+")
 
 
+LONG, ONE_IN = 8, 4
+
+
+def ends_by_hash(word):
+    return int.from_bytes(xxhash.xxh3_128_digest(word.encode())[:8], "little") % ONE_IN == 0
+
+
+def cut(sentence, ends):
+    """A long list of ``(word, place, as written)`` cut after words that end a clause."""
+    if len(sentence) <= LONG:
+        return [sentence]
+    parts, part = [], []
+    for word in sentence:
+        part.append(word)
+        if ends(word):
+            parts.append(part)
+            part = []
+    return parts + [part] if part else parts
+
+
 def sentences_of(text):
     """Each sentence's words and where it begins."""
     out, before = [], None
     for m in WORD.finditer(text):
         if before is None or before.group()[-1] in ".!?" or "\n" in text[before.end() : m.start()]:
-            out.append(([], m.start()))
-        out[-1][0].append("".join(c.lower() if "A" <= c <= "Z" else c for c in m.group()))
+            out.append([])
+        word = "".join(c.lower() if "A" <= c <= "Z" else c for c in m.group())
+        out[-1].append((word, m.start(), m.group()))
         before = m
-    return out
+    out = [p for s in out for p in cut(s, lambda w: w[2][-1] in ",;:")]
+    out = [p for s in out for p in cut(s, lambda w: ends_by_hash(w[0]))]
+    return [([w[0] for w in s], s[0][1]) for s in out]
 
 
 def spans_of(sentences, n, words):
@@ -28,7 +55,7 @@ def spans_of(sentences, n, words):
             yield i, j, tuple(tuple(s[0]) for s in sentences[i:j])
 
 
-def brute(rows, n=3, words=12):
+def brute(rows, n=2, words=24):
     first = {}
     for doc_id, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
         for i, _, span in spans_of(sentences_of(text or ""), n, words):
@@ -69,8 +96,78 @@ def test_whole_table(spark, small):
 
 
 def test_carries_columns_of_any_name(spark):
-    text = "one two three four. five six seven eight. nine ten eleven twelve. "
+    text = "one two three four. five six seven eight. nine ten eleven twelve. " * 2
     df = spark.createDataFrame([(1, text, 5, "x"), (2, "Begin here. " + text, 6, "y"), (None, "q", 7, None)], "doc_id bigint, text string, key int, hits string")
     got = {r["row"]["key"]: (r["row"]["hits"], r["text"]) for r in remove_repeats(df).collect()}
     assert got == {5: ("x", text), 6: ("y", "Begin here. "), 7: (None, "q")}
     assert remove_repeats(df.limit(0)).count() == 0
+
+
+def a_word(rng):
+    return "".join(rng.choice("abdeghiklmnoprstu") for _ in range(rng.randint(2, 9)))
+
+
+def prose(rng, n):
+    """Words of any language with stops and commas now and then."""
+    words = []
+    for _ in range(n):
+        words.append(a_word(rng) + rng.choice(["", "", "", "", "", "", ",", ".", ".\n", "?"]))
+    return words
+
+
+@pytest.mark.parametrize("length", [52, 60, 90])
+def test_passages_at_any_word_are_caught_and_clean_texts_stay(spark, length):
+    rng = random.Random(length)
+    common = " ".join(prose(rng, 11))
+    passages = [prose(rng, length) for _ in range(20)]
+    # One passage is a single sentence without a mark.
+    passages[0] = [w.strip(".,?\n") for w in passages[0]]
+    rows, planted = [], {}
+    for i in range(200):
+        host = prose(rng, rng.randint(60, 200))
+        if i % 3 == 0:
+            host.insert(rng.randint(0, len(host)), common)
+        if i % 2:
+            at = rng.randint(0, len(host))
+            passage = passages[i // 2 % 20]
+            host[at:at] = passage
+            planted[i] = " ".join(passage).split()
+        rows.append((i, " ".join(host)))
+    got = {r["row"]["doc_id"]: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    texts = dict(rows)
+    seen, caught = set(), 0
+    for i, passage in planted.items():
+        if tuple(passage) not in seen:
+            seen.add(tuple(passage))
+            assert got[i]["text"] == texts[i]
+            continue
+        caught += len(texts[i].split()) - len(got[i]["text"].split()) >= length // 2
+    assert caught >= 0.97 * (len(planted) - len(seen))
+    assert all(got[i]["text"] == texts[i] for i in texts if i not in planted)
+
+
+def test_hot_spans_over_many_ranges(spark):
+    """A text that most documents are: its spans fill whole ranges, and the first document alone keeps them."""
+    rng = random.Random(3)
+    hot = " ".join(prose(rng, 60))
+    rows = [(i, hot if i % 4 else " ".join(prose(rng, 40))) for i in range(400)] + [(1, hot)] * 30
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        assert found(df) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_structured_texts_have_different_hashes():
+    """A Thue-Morse word and its complement, equal for a polynomial modulo a power of two."""
+    word = [bin(i).count("1") % 2 for i in range(1024)]
+    texts = [" ".join("ab"[b ^ k] for b in word).encode() for k in (0, 1)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    _, of, count, hashed = split(data, np.array([0, len(texts[0]), len(data)]))
+    joined = [b"".join(t.split()) for t in texts]
+    data = np.frombuffer(b" ".join(joined), np.uint8)
+    _, _, _, single = split(data, np.array([0, len(joined[0]) + 1, len(data)]))
+    assert (single[0] != single[1]).all()
+    first, _, span = spans(of, count, hashed, 2, 900)
+    assert len(first) >= 2 and len({tuple(s) for s in span.tolist()}) == len(span)
