@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from quayside.llm.sentences import remove_repeats, spans, split
+from quayside.llm.sentences import remove_repeats, split
 
 WORD = re.compile(r"[^ \t\n\v\f\r]+")
 
@@ -162,12 +162,9 @@ def test_hot_spans_over_many_ranges(spark):
 def test_structured_texts_have_different_hashes():
     """A Thue-Morse word and its complement, equal for a polynomial modulo a power of two."""
     word = [bin(i).count("1") % 2 for i in range(1024)]
-    texts = [" ".join("ab"[b ^ k] for b in word).encode() for k in (0, 1)]
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    _, of, count, hashed = split(data, np.array([0, len(texts[0]), len(data)]))
-    joined = [b"".join(t.split()) for t in texts]
-    data = np.frombuffer(b" ".join(joined), np.uint8)
-    _, _, _, single = split(data, np.array([0, len(joined[0]) + 1, len(data)]))
-    assert (single[0] != single[1]).all()
-    first, _, span = spans(of, count, hashed, 2, 900)
-    assert len(first) >= 2 and len({tuple(s) for s in span.tolist()}) == len(span)
+    texts = [" ".join(("x", "y")[b ^ k] for b in word).encode() for k in (0, 1)]
+    for joined in (texts, [t.replace(b" ", b"") for t in texts]):
+        data = np.frombuffer(b"".join(joined), np.uint8)
+        _, of, count, hashed = split(data, np.array([0, len(joined[0]), len(data)]))
+        assert count.sum() in (2048, 2)
+        assert hashed[of == 0].tolist() != hashed[of == 1].tolist()
