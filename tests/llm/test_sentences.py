@@ -5,9 +5,9 @@ import re
 
 import numpy as np
 import pytest
-import xxhash
 
 from quayside.llm.sentences import remove_repeats, split
+from quayside.llm.words import hashes
 
 WORD = re.compile(r"[^ \t\n\v\f\r]+")
 
@@ -16,7 +16,8 @@ LONG, ONE_IN = 8, 4
 
 
 def ends_by_hash(word):
-    return int.from_bytes(xxhash.xxh3_128_digest(word.encode())[:8], "little") % ONE_IN == 0
+    spelled = np.frombuffer(word.encode(), np.uint8)
+    return int(hashes(spelled, np.array([len(spelled)]))[0, 0]) % ONE_IN == 0
 
 
 def cut(sentence, ends):
@@ -168,3 +169,17 @@ def test_structured_texts_have_different_hashes():
         _, of, count, hashed = split(data, np.array([0, len(joined[0]), len(data)]))
         assert count.sum() in (2048, 2)
         assert hashed[of == 0].tolist() != hashed[of == 1].tolist()
+
+
+def test_hashes_of_words():
+    """Equal for equal words wherever they lie, different for all others."""
+    rng = random.Random(4)
+    words = ["a" * n for n in range(40)] + ["".join(rng.choice("ab") for _ in range(rng.randint(0, 20))) for _ in range(5000)]
+    words += [w + "\0" for w in words[:50]]
+    coded = [w.encode() for w in words]
+    got = hashes(np.frombuffer(b"".join(coded), np.uint8), np.array([len(w) for w in coded]))
+    for lane in (0, 1):
+        by_word = dict(zip(words, got[:, lane].tolist()))
+        assert all(by_word[w] == h for w, h in zip(words, got[:, lane].tolist()))
+        assert len(set(by_word.values())) == len(by_word)
+    assert hashes(np.zeros(0, np.uint8), np.zeros(0, np.int64)).shape == (0, 2)
