@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows up to which a lookup table is sent to every executor.
-BROADCAST_ROWS = 100_000
+#: Bytes up to which a lookup table is sent to every executor, and rows, each of which has a cost of its own.
+BROADCAST_BYTES, BROADCAST_ROWS = 16 << 20, 100_000
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "left") -> DataFrame:
@@ -16,7 +16,10 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "left") -> Data
     of it in a few tasks.  Beyond the bound it is a plain join, in which
     adaptive execution splits hot keys.
     """
-    small = lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    # Values as text are no smaller than they are; the limit bounds what is looked at.
+    width = F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in lookup.columns)))) + F.lit(8 * len(lookup.columns))
+    size = lookup.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    small = size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
     return df.join(F.broadcast(lookup) if small else lookup, on, how)
 
 

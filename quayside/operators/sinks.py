@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quayside.contracts import LINEAGE, TableContract
 from quayside.operators.catalog import require_table, set_properties, table_location
 from quayside.operators.conform import Run
-from quayside.session import remove_folder, timestamps_with_statistics
+from quayside.session import list_folders, remove_folder, timestamps_with_statistics
 
 MODES = ("truncate", "append")
 
@@ -96,11 +96,19 @@ def publish_batch(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     table = require_table(spark, namespace, contract.name)
+    try:
+        _publish(spark, table, run, mode, folder)
+    except Exception:
+        if not _holds(spark, table, run, folder):
+            remove_folder(spark, folder)
+        raise
+
+
+def _publish(spark: SparkSession, table: str, run: Run, mode: str, folder: str) -> None:
     settle(spark, table)
     part = _partition(_spec(run))
-    if not spark.sql(f"SHOW PARTITIONS {table} {part}").isEmpty():
-        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {part}")
-        before = described.where("col_name = 'Location'").first()["data_type"]
+    before = _folder(spark, table, run)
+    if before is not None:
         spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{folder}'")
         remove_folder(spark, before)
     elif mode == "append":
@@ -113,6 +121,46 @@ def publish_batch(
     spark.catalog.refreshTable(table)
 
 
+def _folder(spark: SparkSession, table: str, run: Run) -> str | None:
+    """Where the table has a run's batch; None if it has none."""
+    part = _partition(_spec(run))
+    if spark.sql(f"SHOW PARTITIONS {table} {part}").isEmpty():
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {part}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
+def _holds(spark: SparkSession, table: str, run: Run, folder: str) -> bool:
+    """Whether a folder is part of the table; if the catalog does not say, it may be."""
+    try:
+        found = _folder(spark, table, run)
+    except Exception:  # noqa: BLE001 - the caller is about to raise the error that came first
+        return True
+    return found is not None and found.rstrip("/").endswith(_attempt(folder))
+
+
+def _attempt(folder: str) -> str:
+    """The part of a batch's path that no other attempt has."""
+    return folder[folder.index("__batches/") :].rstrip("/")
+
+
+def clear_dead_batches(spark: SparkSession, namespace: str, contract: TableContract) -> int:
+    """Remove folders of batches that were written and never published, as a killed load leaves them.
+
+    No load of the table may be running.  Returns the number of folders removed.
+    """
+    table = require_table(spark, namespace, contract.name)
+    settle(spark, table)
+    held = set()
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_partition(row[0])}")
+        held.add(described.where("col_name = 'Location'").first()["data_type"].rstrip("/").split("/")[-3])
+    dead = [f for f in list_folders(spark, f"{table_location(spark, table)}__batches") if f.split("/")[-1] not in held]
+    for folder in dead:
+        remove_folder(spark, folder)
+    return len(dead)
+
+
 def announce(spark: SparkSession, table: str, run: Run, folder: str) -> None:
     """Add a batch that readers do not see yet."""
     set_properties(spark, table, {HIDDEN: _spec(run)})

@@ -1,11 +1,44 @@
-"""Reporting tables over the banking tables."""
+"""Reporting tables over the banking tables.
+
+Each has two forms: from the facts, of which the last loaded row of each counts, and
+from the sums of a rollup that is kept up with every batch.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.contracts.banking import BANKING
 from quayside.operators.dedup import lookup
+from quayside.operators.rollups import Rollup, current_facts
+
+
+def transactions_by(period: str = "day") -> Rollup:
+    return Rollup(
+        f"transactions_by_{period}",
+        BANKING["transactions"],
+        {
+            "period": f"CAST(date_trunc('{period}', transaction_time) AS date)",
+            "transaction_type_id": "transaction_type_id",
+            "channel_id": "channel_id",
+            "currency_code": "currency_code",
+            "status": "status",
+        },
+        ("amount", "fee_amount"),
+    )
+
+
+ACCOUNTS_BY_BRANCH = Rollup(
+    "accounts_by_branch",
+    BANKING["accounts"],
+    {"branch_id": "branch_id", "currency_code": "currency_code"},
+    ("current_balance",),
+)
+
+ACCOUNTS_BY_CUSTOMER = Rollup(
+    "accounts_by_customer", BANKING["accounts"], {"customer_id": "customer_id"}, ("current_balance",)
+)
 
 
 def transaction_summary(
@@ -15,17 +48,12 @@ def transaction_summary(
 
     Transactions are summed by their ids first; only the sums are joined.
     """
-    sums = transactions.groupBy(
-        F.date_trunc(period, "transaction_time").cast("date").alias("period"),
-        "transaction_type_id",
-        "channel_id",
-        "currency_code",
-        "status",
-    ).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("amount").alias("amount"),
-        F.sum("fee_amount").alias("fee_amount"),
-    )
+    sums = transactions_by(period).grouped(current_facts(transactions, "transaction_id"))
+    return transaction_sums(sums, transaction_types, channels)
+
+
+def transaction_sums(sums: DataFrame, transaction_types: DataFrame, channels: DataFrame) -> DataFrame:
+    """The same from the sums of ``transactions_by``."""
     named = sums.join(
         lookup(transaction_types, "transaction_type_id", "transaction_type_code"), "transaction_type_id", "left"
     ).join(lookup(channels, "channel_id", "channel_code"), "channel_id", "left")
@@ -41,28 +69,32 @@ def branch_balances(accounts: DataFrame, branches: DataFrame) -> DataFrame:
 
     ``level`` is 0 for a branch, 1 for a region, 3 for the currency.
     """
-    sums = accounts.groupBy("branch_id", "currency_code").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("current_balance").alias("balance")
-    )
+    return branch_sums(ACCOUNTS_BY_BRANCH.grouped(current_facts(accounts, "account_id")), branches)
+
+
+def branch_sums(sums: DataFrame, branches: DataFrame) -> DataFrame:
+    """The same from the sums of ``ACCOUNTS_BY_BRANCH``."""
     placed = sums.join(lookup(branches, "branch_id", "branch_name", "region"), "branch_id", "left")
     by = ["currency_code", "region", "branch_name"]
     return placed.groupingSets([by, by[:2], by[:1]], *by).agg(
         F.sum("n").alias("n_accounts"),
-        F.sum("balance").cast("decimal(38,2)").alias("balance"),
+        F.sum("current_balance").cast("decimal(38,2)").alias("balance"),
         F.grouping_id().cast("int").alias("level"),
     )
 
 
 def customer_balances(accounts: DataFrame, customers: DataFrame) -> DataFrame:
     """Accounts and balance of each customer, customers without accounts too."""
-    sums = accounts.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("n_accounts"),
-        F.sum("current_balance").cast("decimal(38,2)").alias("balance"),
-    )
-    return lookup(customers, "customer_id", "full_name", "customer_segment").join(sums, "customer_id", "left").select(
+    return customer_sums(ACCOUNTS_BY_CUSTOMER.grouped(current_facts(accounts, "account_id")), customers)
+
+
+def customer_sums(sums: DataFrame, customers: DataFrame) -> DataFrame:
+    """The same from the sums of ``ACCOUNTS_BY_CUSTOMER``."""
+    known = lookup(customers, "customer_id", "full_name", "customer_segment")
+    return known.join(sums, "customer_id", "left").select(
         "customer_id",
         "full_name",
         "customer_segment",
-        F.coalesce("n_accounts", F.lit(0)).alias("n_accounts"),
-        F.coalesce("balance", F.lit(0).cast("decimal(38,2)")).alias("balance"),
+        F.coalesce("n", F.lit(0)).alias("n_accounts"),
+        F.coalesce("current_balance", F.lit(0).cast("decimal(38,2)")).alias("balance"),
     )

@@ -111,21 +111,31 @@ def _shares(table: str, key: str, parts: int) -> str:
         GROUP BY rows_before // size, n >= size"""
 
 
-def _columns_of(contract: TableContract) -> list[str]:
-    rows = []
-    for column in contract.columns:
-        kind, comment = column.type.simpleString(), contract.comment_of(column)
-        rows.append((column.name, kind, comment, f"count({column.name})"))
-    rows += [
-        ("_ingested_at", "timestamp", "instant of the load, one per run", "count(*)"),
-        ("_source_system", "string", "system the row was read from", "count(*)"),
-        ("_ingestion_batch_id", "string", "id of the run that loaded the row", "count(*)"),
+#: The type a column must get, by the type that SQL finds in the source: money is exact, a measured value is not.
+_EXPECTED = """CASE CASE column_name WHEN 'value' THEN 'MEASURED' ELSE kind END WHEN 'MEASURED' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp' WHEN 'DATE' THEN 'date'
+    WHEN 'BOOLEAN' THEN 'boolean' WHEN 'FLOAT[]' THEN 'array<float>'
+    WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'bigint' ELSE 'decimal(18,2)' END"""
+
+
+def _columns_of(contract: TableContract, relation: str) -> str:
+    """Every column with the type SQL expects, its comment, and its values."""
+    rows = [
+        f"SELECT '{c.name}' AS column_name, any_value(typeof({c.name})) AS kind, "
+        f"'{contract.comment_of(c)}' AS comment, count({c.name}) AS n_values FROM {relation} r"
+        for c in contract.columns
     ]
-    return [
-        f"SELECT '{contract.name}' AS table_name, '{n}' AS column_name, '{k}' AS data_type, '{c}' AS comment, "
-        f"{v} AS n_values FROM {contract.name}"
-        for n, k, c, v in rows
+    rows += [
+        f"SELECT '{name}', '{kind}', '{comment}', count(*) FROM {relation} r"
+        for name, kind, comment in (
+            ("_ingested_at", "TIMESTAMP", "instant of the load, one per run"),
+            ("_source_system", "VARCHAR", "system the row was read from"),
+            ("_ingestion_batch_id", "VARCHAR", "id of the run that loaded the row"),
+        )
     ]
+    return (
+        f"SELECT '{contract.name}' AS table_name, column_name, {_EXPECTED} AS data_type, comment, n_values "
+        f"FROM ({' UNION ALL '.join(rows)}) {contract.name}_columns"
+    )
 
 
 def oracles() -> dict[str, str]:
@@ -175,7 +185,7 @@ def oracles() -> dict[str, str]:
                    max(o_orderdate) AS last_order
             FROM orders GROUP BY o_custkey""",
         "table_columns": " UNION ALL ".join(
-            row for t in ("nation", "customer", "orders", "lineitem") for row in _columns_of(WAREHOUSE[t])
+            [_columns_of(c, c.name) for c in WAREHOUSE] + [_columns_of(c, f"({shape_sql(c.name)})") for c in BANKING]
         ),
         "default_ingested_at": _conformed(orders, "orders", "TRUE AS stamped", *_lineage(FIRST)[1:]),
         "observed_counts": " UNION ALL ".join(
@@ -315,6 +325,9 @@ def oracles() -> dict[str, str]:
             FROM {_typed_table('customers')} c LEFT JOIN {_typed_table('accounts')} a ON c.customer_id = a.customer_id
             GROUP BY ALL""",
     }
+    sql["kept_transaction_summary"] = sql["appended_transaction_summary"] = sql["transaction_summary"]
+    sql["kept_branch_balances"] = sql["appended_branch_balances"] = sql["branch_balances"]
+    sql["kept_customer_balances"] = sql["customer_balances"]
     for contract in WAREHOUSE:
         if contract.name != "embeddings":
             sql[f"load_{contract.name}"] = _loaded(contract, contract.name)

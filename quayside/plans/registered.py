@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from quayside.contracts import Registry, TableContract, columns
 from quayside.contracts.banking import BANKING
 from quayside.contracts.warehouse import WAREHOUSE
-from quayside.operators import quality, summaries
+from quayside.operators import quality, rollups, summaries
 from quayside.operators.catalog import create_tables, describe_columns, table_name
 from quayside.operators.conform import Run, conform, with_lineage
 from quayside.operators.current import read_current, vanished
@@ -356,19 +356,23 @@ def clustered_load(spark, sf_dir):
 
 @query
 def table_columns(spark, sf_dir):
-    """Type and comment of each created column, with the values it holds after a load."""
-    tables = ["nation", "customer", "orders", "lineitem"]
-    job = _load(_job(spark, ParquetSource(spark, sf_dir), WAREHOUSE), tables)
-    parts = []
-    for table in tables:
-        df = _loaded(job, table)
-        held = df.agg(*(F.count(c).alias(c) for c in df.columns)).unpivot([], df.columns, "column_name", "n_values")
-        described = describe_columns(spark, job.namespace, WAREHOUSE[table])
-        parts.append(described.select("table_name", "column_name", "data_type", "comment").join(held, "column_name"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """Type and comment of each created column of all tables, with the values it holds after a load."""
+    frames = FrameSource(banking_frames(spark, sf_dir))
+    jobs = [
+        _load(_job(spark, ParquetSource(spark, sf_dir), WAREHOUSE, concurrency=4), WAREHOUSE.tables),
+        _load(_job(spark, frames, BANKING, concurrency=4), BANKING.tables),
+    ]
+    described, held = [], []
+    for job in jobs:
+        for contract in job.registry:
+            df = _loaded(job, contract.name)
+            counted = df.agg(*(F.count(c).alias(c) for c in df.columns))
+            held.append(
+                counted.unpivot([], df.columns, "column_name", "n_values").withColumn("table_name", F.lit(contract.name))
+            )
+            described.append(describe_columns(spark, job.namespace, contract))
+    listed = _union(described).select("table_name", "column_name", "data_type", "comment")
+    return listed.join(_union(held), ["table_name", "column_name"])
 
 
 @query
@@ -652,6 +656,78 @@ def customer_balances(spark, sf_dir):
     return summaries.customer_balances(frames["accounts"], frames["customers"])
 
 
+def _in_two_batches(
+    spark, sf_dir, table: str, between: Callable[[Ingest], object] = lambda job: None, **wrong: str
+) -> Ingest:
+    """A banking table appended in two batches, of which the second mends and completes the first.
+
+    The first lacks every third key, and every fifth has another value in some columns.
+    """
+    contract, frame = BANKING[table], banking_frames(spark, sf_dir)[table]
+    key = F.col(contract.key[0])
+    first = frame.where(key % 3 != 0).withColumns(
+        {c: F.when(key % 5 == 0, F.expr(e)).otherwise(F.col(c)) for c, e in wrong.items()}
+    )
+    second = frame.where((key % 3 == 0) | (key % 5 == 0))
+    job = _load(_job(spark, FrameSource({table: first}), BANKING, mode="append"), [table])
+    between(job)
+    replace(job, source=FrameSource({table: second}), run=SECOND).execute([table], create=False)
+    return job
+
+
+def _kept_up(spark, sf_dir, rollup: rollups.Rollup, **wrong: str) -> DataFrame:
+    """The rollup of two batches, refreshed after each, and after the first was loaded again."""
+
+    def refreshed(job: Ingest) -> list[str]:
+        return rollups.refresh(spark, job.namespace, rollup)
+
+    job = _in_two_batches(spark, sf_dir, rollup.facts.name, refreshed, **wrong)
+    refreshed(job)
+    replace(job).execute([rollup.facts.name], create=False)
+    refreshed(job)
+    return rollups.summary(spark, job.namespace, rollup)
+
+
+@query
+def kept_transaction_summary(spark, sf_dir):
+    """The summary from stored partials, though facts were appended late and changed their group and amount."""
+    frames = _banking(spark, sf_dir)
+    sums = _kept_up(
+        spark, sf_dir, summaries.transactions_by("month"), amount="amount + 7", status="'PENDING'", fee_amount="NULL"
+    )
+    return summaries.transaction_sums(sums, frames["transaction_types"], frames["channels"])
+
+
+@query
+def kept_branch_balances(spark, sf_dir):
+    frames = _banking(spark, sf_dir)
+    sums = _kept_up(spark, sf_dir, summaries.ACCOUNTS_BY_BRANCH, current_balance="current_balance * 2", branch_id="1")
+    return summaries.branch_sums(sums, frames["branches"])
+
+
+@query
+def kept_customer_balances(spark, sf_dir):
+    frames = _banking(spark, sf_dir)
+    sums = _kept_up(spark, sf_dir, summaries.ACCOUNTS_BY_CUSTOMER, customer_id="1")
+    return summaries.customer_sums(sums, frames["customers"])
+
+
+@query
+def appended_branch_balances(spark, sf_dir):
+    """Accounts that two batches hold count once, as the last batch has them."""
+    job = _in_two_batches(spark, sf_dir, "accounts", current_balance="0")
+    return summaries.branch_balances(_loaded(job, "accounts"), _banking(spark, sf_dir)["branches"])
+
+
+@query
+def appended_transaction_summary(spark, sf_dir):
+    frames = _banking(spark, sf_dir)
+    job = _in_two_batches(spark, sf_dir, "transactions", amount="0")
+    return summaries.transaction_summary(
+        _loaded(job, "transactions"), frames["transaction_types"], frames["channels"], "month"
+    )
+
+
 def _union(parts) -> DataFrame:
     result, *others = parts
     for part in others:

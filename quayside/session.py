@@ -84,6 +84,15 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def list_folders(spark: SparkSession, folder: str) -> list[str]:
+    """The folders in a folder, in whatever store it is; none if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        return []
+    return sorted(s.getPath().toString() for s in store.listStatus(path) if s.isDirectory())
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, named by ``spark.checkpoint.dir``.
 

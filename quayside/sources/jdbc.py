@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import math
+import re
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,8 @@ class JdbcSource(Source):
         fetch_size: int = 50_000,
         rows_per_range: int = 1_000_000,
     ):
+        if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_$]*(\.[A-Za-z_][A-Za-z0-9_$]*)?", schema):
+            raise ValueError(f"{schema!r} is not the name of a schema")
         self.spark = spark
         self.url = url
         self.registry = registry

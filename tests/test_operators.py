@@ -233,11 +233,13 @@ def test_a_lookup_is_broadcast_only_within_its_bound(spark, monkeypatch):
     assert "BroadcastHashJoin" in plan(lookup_join(df, lookup, "id"))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(frames, "BROADCAST_ROWS", 10)
     try:
-        beyond = lookup_join(df, lookup, "id")
-        assert "Broadcast" not in plan(beyond)
-        assert beyond.where("v = 1").count() == 50
+        for bound, value in (("BROADCAST_ROWS", 10), ("BROADCAST_BYTES", 200)):
+            with monkeypatch.context() as m:
+                m.setattr(frames, bound, value)
+                beyond = lookup_join(df, lookup, "id")
+                assert "Broadcast" not in plan(beyond)
+                assert beyond.where("v = 1").count() == 50
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 

@@ -255,3 +255,9 @@ def test_frames_know_their_tables(spark):
     assert frames.count("items") == 3
     with pytest.raises(ContractError):
         frames.count("codes")
+
+
+@pytest.mark.parametrize("schema", ["public; DROP TABLE x", "a b", "", "a.b.c", "1x", 'p"'])
+def test_a_schema_is_a_name(schema):
+    with pytest.raises(ValueError):
+        JdbcSource(None, "jdbc:x://h/db", PACK, schema=schema)
