@@ -30,9 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.arrays import BLANK, LOWER, U64, SpanHashes, flat, lists, mix, pieces, runs
+from quayside.llm.arrays import BLANK, LOWER, U64, flat, lists, mix, pieces, runs
 from quayside.llm.components import components
 from quayside.llm.store import document_key, written
+from quayside.llm.words import hashes
 
 COORDINATES, MATCHES = 32, 15
 
@@ -52,13 +53,13 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
     words has none.
     """
     data, offsets = flat(texts)
-    starts, ends, of = runs(~BLANK[data], offsets)
-    words = SpanHashes(LOWER[data])(starts, ends)
+    inside = ~BLANK[data]
+    starts, ends, of = runs(inside, offsets)
+    words = hashes(LOWER[data[inside]], ends - starts)[:, 0]
     first = np.searchsorted(of, np.arange(len(offsets)))
     chained = np.zeros(max(0, len(words) - width + 1), U64)
     for k in range(width):
-        chained = (chained + words[k : k + len(chained)]) * U64(0x9E3779B97F4A7C15)
-    chained = mix(chained)
+        chained = mix(chained + words[k : k + len(chained)] * U64(0x9E3779B97F4A7C15))
     for i in range(len(texts)):
         a, b = first[i], first[i + 1]
         if b - a >= width:
@@ -66,7 +67,7 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
         elif b > a:
             whole = U64(b - a)
             for word in words[a:b]:
-                whole = (whole + word) * U64(0x9E3779B97F4A7C15)
+                whole = mix(np.array([whole + word * U64(0x9E3779B97F4A7C15)], U64))[0]
             yield mix(np.array([whole], U64))
         else:
             yield np.zeros(0, U64)

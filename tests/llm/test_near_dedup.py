@@ -132,3 +132,10 @@ def test_open_pairs_lose_none(spark):
     got = {(max(r["a"], r["b"]), min(r["a"], r["b"])) for r in _open_pairs(postings, held, 80).collect()}
     wanted = {(i, j) for i, j in alike if component[i] != component[j]}
     assert wanted and wanted <= got
+
+
+def test_structured_words_are_different(spark):
+    """Two words of 1,024 letters that a polynomial modulo a power of two cannot tell apart."""
+    word = [bin(i).count("1") % 2 for i in range(1024)]
+    rows = [(k, "".join("ab"[b ^ k] for b in word) + " x") for k in (0, 1)]
+    assert found(spark.createDataFrame(rows, "doc_id bigint, text string"), 2) == brute(rows, 2)
