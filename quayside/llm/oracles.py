@@ -28,6 +28,22 @@ def _features(table: str, key: str) -> str:
 
 
 SQL: dict[str, str] = {
+    "op8_perspectives": """
+        WITH m AS (
+            SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') || '<|im_end|>' || chr(10) AS body,
+                   row_number() OVER (PARTITION BY conv_id
+                       ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS ordinal
+            FROM conversations),
+        shown AS (
+            SELECT m.conv_id, speaker, ordinal - ordinal % 64 AS first_message, ordinal, role = speaker AS own, body,
+                   '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' ELSE 'user name=' || role END || chr(10) AS head
+            FROM m JOIN (SELECT DISTINCT conv_id, role AS speaker FROM m) s ON m.conv_id IS NOT DISTINCT FROM s.conv_id)
+        SELECT conv_id, speaker, CAST(first_message AS BIGINT) AS first_message, count(*) AS n_messages,
+               CAST(sum(CASE WHEN own THEN length(body) ELSE 0 END) AS BIGINT) AS n_learned,
+               string_agg(head || body, '' ORDER BY ordinal) AS text,
+               string_agg(CASE WHEN own THEN length(head) || ',' || length(body)
+                               ELSE (length(head) + length(body)) || ',0' END, ',' ORDER BY ordinal) AS mask
+        FROM shown GROUP BY ALL""",
     "op11_resampling": f"""
         WITH own AS (SELECT doc_id, feature, count(*) AS n FROM ({_features('documents', 'doc_id')}) f GROUP BY ALL),
         wanted AS (SELECT feature, count(*) AS n FROM ({_features('benchmark', 'item_id')}) f GROUP BY ALL),

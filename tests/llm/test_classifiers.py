@@ -6,7 +6,8 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.llm import language, perspectives, quality
+from compare import connect, difference
+from quayside.llm import language, oracles, perspectives, quality, queries
 
 COLUMNS = "doc_id bigint, text string, lang string, source string"
 
@@ -94,7 +95,7 @@ def test_perspectives_equal_plain_code(spark):
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     df = df.withColumn("part", F.lit("x")).withColumn("speaker", F.lit("y"))
     got = {}
-    for r in sorted(perspectives.perspectives(df).collect(), key=lambda r: r["part"]):
+    for r in sorted(perspectives.perspectives(df).collect(), key=lambda r: r["first_message"]):
         text, mask = got.get((r["conv_id"], r["speaker"]), ("", []))
         got[r["conv_id"], r["speaker"]] = text + r["text"], mask + list(r["mask"])
         assert r["n_learned"] == sum(r["mask"][1::2]) and sum(r["mask"]) == len(r["text"])
@@ -107,8 +108,40 @@ def test_perspectives_equal_plain_code(spark):
 def test_perspectives_of_unusual_rows(spark):
     schema = "conv_id bigint, turn bigint, role string, text string"
     df = spark.createDataFrame([(1, None, None, None), (1, 1, "ann", "hi")], schema)
-    got = {(r["speaker"], r["part"]): r["text"] for r in perspectives.perspectives(df).collect()}
-    assert got["unknown", -1] == "<|im_start|>assistant\n<|im_end|>\n"
-    assert got["ann", 0] == "<|im_start|>assistant\nhi<|im_end|>\n"
-    assert len(got) == 4
+    got = {(r["speaker"], r["first_message"]): r["text"] for r in perspectives.perspectives(df).collect()}
+    assert got["unknown", 0] == "<|im_start|>assistant\n<|im_end|>\n<|im_start|>user name=ann\nhi<|im_end|>\n"
+    assert got["ann", 0] == "<|im_start|>user name=unknown\n<|im_end|>\n<|im_start|>assistant\nhi<|im_end|>\n"
+    assert len(got) == 2
     assert perspectives.perspectives(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("ranges", ["4", "61"])
+def test_crowded_conversations_keep_their_order(spark, ranges):
+    """Thousands of messages without a turn, and of one message again and again: parts follow each other."""
+    rng = random.Random(9)
+    rows = [(7, None, rng.choice(["ann", "bob"]), f"m{i}") for i in range(3000)] + [(8, 3, "ann", "same")] * 2500
+    rows += [(None, i % 5, "cy", "lost") for i in range(700)] + [(c, 1, "dan", "hi") for c in range(20, 60)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(7)
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        parts = perspectives.perspectives(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    got, ends = {}, {}
+    for r in sorted(parts, key=lambda r: r["first_message"]):
+        key = r["conv_id"], r["speaker"]
+        assert r["first_message"] == ends.get(key, 0) and r["n_messages"] <= 64
+        ends[key] = r["first_message"] + r["n_messages"]
+        text, mask = got.get(key, ("", []))
+        got[key] = text + r["text"], mask + list(r["mask"])
+    first = [(-1 if t is None else t, role, said) for c, t, role, said in rows if c == 7]
+    assert got[7, "ann"] == rendered(first, "ann")
+    assert got[8, "ann"] == rendered([r[1:] for r in rows if r[0] == 8], "ann")
+    assert got[None, "cy"] == rendered([r[1:] for r in rows if r[0] is None], "cy")
+    assert len(got) == 4 + 40
+
+
+def test_perspectives_equal_their_sql(spark):
+    name = "op8_perspectives"
+    sf = "/root/testdata/sf0.001"
+    assert difference(queries.QUERIES[name](spark, sf), connect(sf), oracles.SQL[name]) is None
