@@ -35,16 +35,17 @@ def create_namespace(
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(namespace)} COMMENT {_text(comment)}{where}")
 
 
-def table_ddl(namespace: str, contract: TableContract) -> str:
-    """``CREATE TABLE IF NOT EXISTS`` for one contract."""
+def column_line(contract: TableContract, column: Column, default: str = "") -> str:
+    """A column as DDL names it: its type and comment."""
+    return f"{_name(column.name)} {column.type.simpleString()}{default} COMMENT {_text(contract.comment_of(column))}"
 
-    def line(column: Column, default: str = "") -> str:
-        comment = _text(contract.comment_of(column))
-        return f"  {_name(column.name)} {column.type.simpleString()}{default} COMMENT {comment}"
 
-    lines = [line(c) for c in contract.columns]
+def table_ddl(namespace: str, contract: TableContract) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` for one contract."""
+    lines = ["  " + column_line(contract, c) for c in contract.columns]
     for column in LINEAGE:
-        lines.append(line(column, " DEFAULT current_timestamp()" if column.name == "_ingested_at" else ""))
+        default = " DEFAULT current_timestamp()" if column.name == "_ingested_at" else ""
+        lines.append("  " + column_line(contract, column, default))
     lines.append("  `_ingested_date` date DEFAULT current_date() COMMENT 'UTC date of _ingested_at'")
     body = ",\n".join(lines)
     properties = f"\nTBLPROPERTIES ('cluster_by' = {_text(','.join(contract.cluster))})" if contract.cluster else ""

@@ -19,6 +19,7 @@ from quayside.operators.catalog import create_tables, require_table, table_name
 from quayside.operators.conform import Run, check_columns, conform, conformed, with_lineage
 from quayside.operators.current import mark_vanished, read_current
 from quayside.operators.digests import differences
+from quayside.operators.drift import widen
 from quayside.operators.incremental import changed_since, high_water_mark, not_yet_loaded, window_start
 from quayside.operators.layout import file_count, scan_bytes, spread
 from quayside.operators.sinks import (
@@ -222,6 +223,7 @@ class Ingest:
         }
 
     def _load_table(self, contract: TableContract) -> dict:
+        widen(self.spark, self.namespace, contract)
         settle(self.spark, require_table(self.spark, self.namespace, contract.name))
         source_rows = self.source.count(contract.name)
         mark = self._mark(contract)

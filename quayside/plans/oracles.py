@@ -243,6 +243,10 @@ def oracles() -> dict[str, str]:
             UNION ALL {_loaded(orders, "(SELECT * REPLACE ('X' AS o_orderstatus) FROM orders) x", THIRD)}
             WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0 AND o_orderdate < (SELECT max(o_orderdate) FROM orders)""",
         "vanished_keys": f"SELECT o_orderkey, {', '.join(_lineage(THIRD))} FROM orders WHERE o_orderkey % 7 = 0",
+        "streamed_load": _conformed(orders, "orders"),
+        "widened_load": f"""
+            SELECT * REPLACE (CAST(NULL AS VARCHAR) AS o_orderpriority) FROM ({_loaded(orders, 'orders')}) a
+            UNION ALL {_loaded(orders, 'orders', SECOND)}""",
         "dedup_latest": f"""
             SELECT * EXCLUDE (r, q, p, d, t) FROM (
                 SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC,

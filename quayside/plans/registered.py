@@ -6,8 +6,10 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
+from contextlib import suppress
 from functools import partial
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,7 @@ from quayside.sources.ranges import (
     range_predicates,
     split_ranges,
 )
+from quayside.streaming.landing import Landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -656,6 +659,52 @@ def customer_balances(spark, sf_dir):
     return summaries.customer_balances(frames["accounts"], frames["customers"])
 
 
+class _DiesTwice(Landing):
+    """Dies once with its second batch written and not published, and once right after its third is published."""
+
+    died: set[str] = set()
+
+    def _once(self, number: int, wanted: int) -> None:
+        if number == wanted and f"{self.checkpoint}{number}" not in self.died:
+            self.died.add(f"{self.checkpoint}{number}")
+            raise InterruptedError(f"batch {number}")
+
+    def _written(self, number: int) -> None:
+        self._once(number, 1)
+
+    def _load(self, rows: DataFrame, number: int) -> None:
+        super()._load(rows, number)
+        self._once(number, 2)
+
+
+@query
+def streamed_load(spark, sf_dir):
+    """Files that arrive in turns are streamed into a table; the stream dies twice and is resumed: every row once."""
+    orders = ParquetSource(spark, sf_dir).read(WAREHOUSE["orders"])
+    place = f"{shared_folder(spark)}/landing_{uuid.uuid4().hex}"
+    landing = _DiesTwice(
+        spark, f"{place}/files", WAREHOUSE["orders"], f"raw_{uuid.uuid4().hex}", f"{place}/done", f"{place}/table", files_per_batch=1
+    )
+    for arrival in (0, 1):
+        orders.where(F.col("o_orderkey") % 2 == arrival).repartition(2).write.mode("append").parquet(landing.folder)
+        for _ in range(3):
+            with suppress(StreamingQueryException):
+                landing.run()
+    return read_table(spark, landing.namespace, landing.contract).select(landing.contract.column_names)
+
+
+@query
+def widened_load(spark, sf_dir):
+    """A table made before its contract had the priority takes it; the rows it had are null there."""
+    source, contract = ParquetSource(spark, sf_dir), WAREHOUSE["orders"]
+    older = replace(contract, references=(), columns=tuple(c for c in contract.columns if c.name != "o_orderpriority"))
+    orders = source.read(contract)
+    before = FrameSource({"orders": orders.drop("o_orderpriority")})
+    job = _load(_job(spark, before, Registry("older", (older,)), mode="append"), ["orders"])
+    replace(job, source=source, registry=WAREHOUSE, run=SECOND).execute(["orders"], create=False)
+    return read_table(spark, job.namespace, contract)
+
+
 def _in_two_batches(
     spark, sf_dir, table: str, between: Callable[[Ingest], object] = lambda job: None, **wrong: str
 ) -> Ingest:
