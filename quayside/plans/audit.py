@@ -25,9 +25,11 @@ def audit_frame(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
     return spark.createDataFrame(list(rows), _COLUMNS)
 
 
-def append_audit(spark: SparkSession, namespace: str, audit: DataFrame) -> None:
-    create_namespace(spark, namespace)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table_name(namespace, AUDIT_TABLE)} ({_COLUMNS}) USING parquet")
+def append_audit(spark: SparkSession, namespace: str, audit: DataFrame, made: bool = False) -> None:
+    """Append rows; ``made`` says that the audit table is there, and saves asking the catalog."""
+    if not made:
+        create_namespace(spark, namespace)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table_name(namespace, AUDIT_TABLE)} ({_COLUMNS}) USING parquet")
     audit.coalesce(1).write.insertInto(table_name(namespace, AUDIT_TABLE))
 
 

@@ -85,6 +85,7 @@ class Ingest:
     cluster_files: int | None = None
     run: Run = field(default_factory=lambda: Run("source"))
     _executed: bool = field(default=False, init=False, repr=False)
+    _audited: bool = field(default=False, init=False, repr=False)
     _appending: Lock = field(default_factory=Lock, init=False, repr=False)
 
     def __post_init__(self) -> None:
@@ -161,7 +162,8 @@ class Ingest:
     def _written(self, row: dict) -> None:
         """Each table's row is in the audit as soon as it has ended; one append at a time."""
         with self._appending:
-            append_audit(self.spark, self.namespace, audit_frame(self.spark, [row]))
+            append_audit(self.spark, self.namespace, audit_frame(self.spark, [row]), self._audited)
+            self._audited = True
 
     def _finish(self, rows: list[dict], fail: bool) -> DataFrame:
         audit = audit_frame(self.spark, rows)
