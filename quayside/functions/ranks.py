@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.session import scratch_folder
@@ -38,6 +40,14 @@ def in_ranges(df: DataFrame, order: list[Column], ranges: int) -> DataFrame:
     ).drop("_at")
 
 
+def known_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A frame of a few rows of numbers, truth values and texts, a literal of the plan: no Python worker makes it."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    told = json.dumps([dict(zip(names, row)) for row in rows])
+    kind = ", ".join(f"{name}: {rest}" for name, rest in (field.split() for field in schema.split(", ")))
+    return spark.range(1).select(F.inline(F.from_json(F.lit(told), f"array<struct<{kind}>>")))
+
+
 def before_ranges(placed: DataFrame, measure: Column, name: str) -> DataFrame:
     """``_range, name``: the sum of a measure over all ranges before each; a row per range."""
     sums = placed.groupBy(RANGE).agg(measure.alias("_sum")).collect()
@@ -45,7 +55,7 @@ def before_ranges(placed: DataFrame, measure: Column, name: str) -> DataFrame:
     for r in sorted(sums, key=lambda r: r[RANGE]):
         rows.append((r[RANGE], total))
         total += r["_sum"]
-    return placed.sparkSession.createDataFrame(rows, f"{RANGE} int, {name} bigint")
+    return known_rows(placed.sparkSession, rows, f"{RANGE} int, {name} bigint")
 
 
 def ranked(df: DataFrame, order: list[Column], ranges: int, name: str = "rank") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quayside.contracts import Reference, Registry, Rule, TableContract, columns
 from quayside.functions import frames
 from quayside.functions.frames import lookup_join
-from quayside.functions.ranks import in_ranges, ranked
+from quayside.functions.ranks import in_ranges, known_rows, ranked
 from quayside.operators import quality
 from quayside.operators.dedup import latest
 from quayside.operators.history import chain_breaks
@@ -187,6 +187,13 @@ def test_ranks_of_rows_with_ties(spark):
     assert ranked(df.limit(0), [F.col("k")], 9).count() == 0
 
 
+def test_known_rows(spark):
+    rows = [(1, None, True, "a'\"\\n"), (-(2**31), 2**63 - 1, False, None), (5, -(2**63), None, "é")]
+    found = known_rows(spark, rows, "a int, b bigint, c boolean, d string")
+    assert [tuple(r) for r in found.collect()] == rows
+    assert known_rows(spark, [], "a int").collect() == []
+
+
 def test_shares_of_a_text_key(spark):
     values = ["a"] * 3 + ["hot"] * 500 + [f"x{i:03}" for i in range(200)] + [None] * 9
     df = spark.createDataFrame([(v,) for v in values], "k string").repartition(6)
