@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.functions.ranks import PLACE, RANGE, in_ranges
+from quayside.functions.ranks import PLACE, RANGE, in_ranges, known_rows
 
 MESSAGES = 64
 NOBODY = "unknown"
@@ -52,7 +52,7 @@ def _numbered(rows: DataFrame) -> DataFrame:
         # A range of one conversation adds to what was carried, another begins anew.
         before = r["n"] + (before if goes_on and first == end else 0)
         held = (end,)
-    sent = rows.sparkSession.createDataFrame(carried, f"{RANGE} int, goes_on boolean, of bigint, earlier bigint")
+    sent = known_rows(rows.sparkSession, carried, f"{RANGE} int, goes_on boolean, of bigint, earlier bigint")
     own = F.row_number().over(Window.partitionBy(RANGE, "conv_id").orderBy(PLACE)) - 1
     earlier = F.when(F.col("goes_on") & F.col("of").eqNullSafe(F.col("conv_id")), F.col("earlier")).otherwise(0)
     numbered = placed.withColumn("own", own).join(F.broadcast(sent), RANGE)
