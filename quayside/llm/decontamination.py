@@ -172,7 +172,7 @@ def _shard(piece: pa.RecordBatch, windows: Windows) -> pa.RecordBatch:
 
 
 def _searched(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    windows = sent.value
+    windows = Windows(*sent.value)
     for batch in batches:
         for piece in pieces(batch, "text", SHARD_BYTES):
             yield _shard(piece, windows)
@@ -207,7 +207,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
         if k:
             rows = written(found.drop("n_words"), "searched")
         windows = windows_of(items.where(block == k).dropDuplicates().toArrow(), window)
-        found = rows.mapInArrow(partial(_searched, spark.sparkContext.broadcast(windows)), kinds)
+        found = rows.mapInArrow(partial(_searched, spark.sparkContext.broadcast(tuple(windows))), kinds)
     return found
 
 

@@ -22,7 +22,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.ranks import ranked
@@ -190,7 +190,7 @@ _FOUND = "anchor bigint, key int, score bigint, vec_id bigint"
 def _walked(trees: Broadcast, same_label: bool, keep: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     walks: dict[int, list[Walk]] = {}
     for d, tree, windows in trees.value:
-        walks.setdefault(d, []).append(Walk(tree, windows, same_label, keep))
+        walks.setdefault(d, []).append(Walk(Tree(*tree), windows, same_label, keep))
     for batch in batches:
         for at in range(0, batch.num_rows, _BATCH):
             part = batch.slice(at, _BATCH)
@@ -337,7 +337,7 @@ def mine(
     for first in range(0, 0 if last is None else last + 1, turn):
         held = _held(trees.where((F.col("block") >= first) & (F.col("block") < first + turn)).collect())
         open_ = [(d, tree, [[(-np.inf, np.inf, 0)] for _ in tree.ids]) for d, tree, _ in held]
-        sent = spark.sparkContext.broadcast(open_)
+        sent = _sent(spark, open_)
         near = _first(taken.mapInArrow(partial(_walked, sent, True, positives), _FOUND), positives)
         near = written(near, "positives")
         best: dict[int, list] = {}
@@ -347,7 +347,7 @@ def mine(
             (d, tree, [[(_up(low * s), _down(high * s), k) for k, s in best.get(int(a), [])] for a in tree.ids])
             for d, tree, _ in held
         ]
-        sent = spark.sparkContext.broadcast(windows)
+        sent = _sent(spark, windows)
         hard = _first(taken.mapInArrow(partial(_walked, sent, False, negatives), _FOUND), negatives)
         positive = near.select(
             "anchor", F.col("rank").alias("key"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")
@@ -370,6 +370,13 @@ def mine(
     return whole
 
 
+def _sent(spark: SparkSession, trees: list[tuple[int, Tree, list]]) -> Broadcast:
+    """Trees as plain arrays: executors need no copy of the library to read them."""
+    return spark.sparkContext.broadcast(
+        [(d, (t.ids, t.labels, t.vectors, t.parent, t.edge), windows) for d, t, windows in trees]
+    )
+
+
 def _up(hundredths: int) -> int:
     return -(-hundredths // 100)
 

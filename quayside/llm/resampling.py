@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +46,19 @@ def _applied(columns: np.ndarray, values: np.ndarray) -> np.ndarray:
     return out
 
 
-@lru_cache(4096)
+_tables: dict[int, np.ndarray] = {}
+
+
 def _zeros(n: int) -> np.ndarray:
     """Tables, one for each byte of a CRC-32, of what ``n`` zero bytes after it make of it."""
+    if n not in _tables:
+        if len(_tables) >= 4096:
+            _tables.clear()
+        _tables[n] = _made(n)
+    return _tables[n]
+
+
+def _made(n: int) -> np.ndarray:
     bits = np.uint32(1) << np.arange(32, dtype=np.uint32)
     power = bits.copy()
     for _ in range(8):
