@@ -8,9 +8,9 @@ shorter one, whose bytes known to the longer are excluded (``N`` bytes seen, ``D
 different ones, ``n`` times this one); after no context, all bytes left are
 alike.  The statistics are frozen: scoring learns nothing.
 
-The trees are learned from a bounded sample, ``DOCUMENTS_PER_LANGUAGE`` texts of
-each language in the order of a hash of their id, of ``LONGEST`` bytes at most
-each; every text is scored whole.
+The trees are learned from a bounded sample, ``DOCUMENTS_PER_LANGUAGE`` documents
+of each language in the order of a hash of their id, whatever their lengths; these
+are counted whole, on the executors, and every text is scored whole.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from pyspark.sql import Window
 from quayside.llm.arrays import flat, pieces
 
 DOCUMENTS_PER_LANGUAGE = 200
-LONGEST = 50_000
 ORDER = 3
 UNKNOWN = "und"
 
@@ -180,20 +179,23 @@ class ContextTrees:
         return total
 
 
-def learn(docs: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE, longest: int = LONGEST) -> ContextTrees:
-    """Trees from a sample of the rows of ``docs(doc_id, text, lang)`` that are not held out."""
+def learn(docs: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE) -> ContextTrees:
+    """Trees from a sample of the rows of ``docs(doc_id, text, lang)`` that are not held out.
+
+    A language is learned if any of its documents may be, also if all are very long.
+    """
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = (
-        rows.where(F.octet_length("text") <= longest)
-        .select("doc_id", "lang")
+        rows.select("doc_id", "lang")
+        .distinct()
         .withColumn("rank", F.row_number().over(by_hash))
         .where(F.col("rank") <= per_language)
         .select("doc_id")
         .distinct()
     )
     # At most per_language ids for each language, so this side may be broadcast.
-    texts = rows.where(F.octet_length("text") <= longest).join(F.broadcast(ids), "doc_id", "left_semi")
+    texts = rows.join(F.broadcast(ids), "doc_id", "left_semi")
     counted = (
         texts.select(F.col("lang").cast("string"), F.col("text").cast("string"))
         .mapInArrow(_counted, "lang string, gram bigint, n bigint")

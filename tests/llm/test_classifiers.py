@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +40,60 @@ def test_language_ignores_lang_source_and_the_held_out(spark, small):
     assert again.languages == trees.languages and (again.known == trees.known).all()
 
 
+def test_language_of_very_long_texts_alone_is_learned(spark):
+    """Whatever the length of its documents, a language counts."""
+    rng = random.Random(5)
+    words = {"aa": ["kala", "moro", "tuti"], "bb": ["schwitz", "krumpf", "blenz"]}
+    said = {lang: [" ".join(rng.choices(w, k=30_000 if lang == "bb" else 40)) for _ in range(12)] for lang, w in words.items()}
+    rows = [(i, text, lang, "s") for lang in said for i, text in enumerate(said[lang], 100 if lang == "bb" else 0)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    trees = language.learn(docs)
+    assert trees.languages == ["aa", "bb"]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, trees).collect()}
+    assert got == {r[0]: r[2] for r in rows}
+
+
+def code_length(texts, text):
+    """Bits of a text after learning others, byte by byte with dictionaries: the definition, no tables."""
+    seen = {}
+    for t in texts:
+        data = b"\0\0\0" + t.encode()
+        for i in range(3, len(data)):
+            for k in range(4):
+                after = seen.setdefault((k, data[i - k : i]), {})
+                after[data[i]] = after.get(data[i], 0) + 1
+    data, bits = b"\0\0\0" + text.encode(), 0.0
+    for i in range(3, len(data)):
+        excluded = set()
+        for k in range(3, -1, -1):
+            whole = seen.get((k, data[i - k : i]), {})
+            after = {b: n for b, n in whole.items() if b not in excluded}
+            total = sum(after.values()) + len(after)
+            if data[i] in after:
+                bits += math.log2(total / after[data[i]])
+                break
+            if after:
+                bits += math.log2(total / len(after))
+            excluded |= set(whole)
+        else:
+            bits += math.log2(max(256 - len(excluded), 1))
+    return bits
+
+
+def test_code_lengths_equal_their_definition(spark):
+    rng = random.Random(8)
+    letters = {"aa": "abcdé ", "bb": "cdefgß "}
+    texts = {lang: ["".join(rng.choices(w, k=rng.randint(1, 200))) for _ in range(9)] for lang, w in letters.items()}
+    rows = [(i, t, lang, None) for lang in texts for i, t in enumerate(texts[lang], 50 * (lang == "bb"))]
+    trees = language.learn(spark.createDataFrame(rows, COLUMNS))
+    learned = {lang: [t for i, t, of, _ in rows if of == lang and zlib.crc32(str(i).encode()) % 4 != 2] for lang in texts}
+    judged = ["abc déf zzz", "a", "ßß\nabcabc", *texts["aa"][:3], *texts["bb"][:3]]
+    data = np.frombuffer("".join(judged).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in judged])])
+    want = [[code_length(learned[lang], t) for lang in trees.languages] for t in judged]
+    assert np.allclose(trees.code_lengths(data, offsets), want)
+
+
 def test_language_of_unusual_rows(spark, small):
     rows = [(1, None, None, "a"), (2, "", "en", "a"), (3, "12 34 !", "en", "a"), (None, "words of a text", None, None), (5, "x" * 500_000, None, None)]
     odd = spark.createDataFrame([*rows, rows[3]], COLUMNS)
