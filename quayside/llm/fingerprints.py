@@ -4,7 +4,9 @@ A spot signature is an anchor, a common word, with the chain of the next
 ``CHAIN`` content words after it, whatever anchors stand between.  Texts are
 lowered and cut at everything but letters and digits.  A text's start counts as an
 anchor too, so each text with a content word has a signature; a text without any
-has its own whole as its signature.
+has its own whole as its signature.  Where anchors are scarce (tables, code, other
+languages), fewer than one for ``SCARCE`` content words, each content word is an
+anchor as well, so the signatures cover the whole text.
 
 The fingerprint is the set of signatures.  Two texts are compared by Jaccard
 similarity; sets can only be alike if their lengths are, so ``near_pairs`` deals
@@ -33,6 +35,7 @@ ANCHORS = (
 ).split()
 
 CHAIN = 2
+SCARCE = 16
 
 #: Rows are sorted in ranges of so many, up to the square of ``MOST_CUTS`` ranges.
 RANGE_IDS, MOST_CUTS = 2000, 32
@@ -69,7 +72,10 @@ def _chains(words: Column, content: Column, places: Column) -> Column:
         return F.when(at < F.size(content), _hashed(F.concat_ws(" ", anchor, *follow)))
 
     start = F.array(chain(F.lit(""), F.lit(0)))
-    return F.array_compact(F.concat(start, F.transform(places, lambda p, n: chain(F.get(words, p), p - n))))
+    spots = F.transform(places, lambda p, n: chain(F.get(words, p), p - n))
+    scarce = F.size(places) * SCARCE < F.size(content)
+    every = F.when(scarce, F.transform(content, lambda x, n: chain(x, n + 1))).otherwise(F.array().cast("array<bigint>"))
+    return F.array_compact(F.concat(start, spots, every))
 
 
 def fingerprint(found: Column) -> Column:

@@ -10,6 +10,10 @@ from quayside.llm import queries
 from quayside.llm.fingerprints import ANCHORS, compare_edited, near_pairs
 
 
+def signature(anchor, chain):
+    return int(md5(" ".join([anchor, *chain, *[""] * (2 - len(chain))]).encode()).hexdigest()[:8], 16)
+
+
 def signatures(text):
     words = [w for w in re.split(r"[^\w]+|_+", text.lower()) if w]
     out, anchors = set(), set(ANCHORS)
@@ -17,7 +21,10 @@ def signatures(text):
         if i < 0 or w in anchors:
             chain = [x for x in words[i + 1 :] if x not in anchors][:2]
             if chain:
-                out.add(int(md5(" ".join([w, *chain, *[""] * (2 - len(chain))]).encode()).hexdigest()[:8], 16))
+                out.add(signature(w, chain))
+    content = [w for w in words if w not in anchors]
+    if 16 * (len(words) - len(content)) < len(content):
+        out |= {signature(w, content[i + 1 : i + 3]) for i, w in enumerate(content[:-1])}
     return out or {int(md5(text.encode()).hexdigest()[:8], 16)}
 
 
@@ -59,6 +66,16 @@ def test_whole_table(spark, small):
         assert got[want[0]][5:] == pytest.approx(want[5:])
 
 
+def test_texts_without_anchors_are_told_apart_beyond_their_start(spark):
+    """Tables and code of hundreds of words that share only their first two."""
+    texts = ["alpha beta " + " ".join(f"{kind}{i}" for i in range(500)) for kind in ("cell", "item")]
+    texts.append(texts[0].replace("cell250 ", "changed "))
+    got = compare_edited(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).orderBy("doc_id").collect()
+    assert got[0]["near_next"] < 0.01 and got[0]["near_edited"] < 0.6
+    assert got[2]["near_next"] > 0.98
+    assert all(r["n_signatures"] > 450 for r in got)
+
+
 @pytest.mark.parametrize("n", [0, 1])
 def test_few_rows(spark, n):
     got = compare_edited(spark.createDataFrame(ROWS[:n], "doc_id bigint, text string")).collect()
