@@ -3,13 +3,17 @@
 Two classifiers see a document from two sides: its text (words, and shares of
 signs, capitals and repetitions) and its metadata (source, language, size and
 line lengths).  Both are logistic models of hashed features.  In every round each
-labels the unlabelled documents it is most sure of for the other to learn from.
+labels every document of the table that it is sure of for the other to learn from.
 Each view is then calibrated on labelled documents kept apart, and the calibrated
 views are combined into the score of every document of the table.
 
-The models are learned from a bounded sample in the order of a hash of the id:
-``LABELLED`` rows with a label and ``POOL`` without, with all their text.  A
-document is good if it is labelled of quality and not toxic.
+Labelled rows are learned from as a bounded sample, ``LABELLED`` documents in the
+order of a hash of the id, with all their text.  All other documents take part in
+every round: executors score them by both views and count the features of those a
+view is sure of, so that only sums, of as many numbers as the views have features,
+reach the driver.  A class of pseudo-labelled documents enters the other view as
+their mean, which weighs ``PSEUDO`` times what the labelled ones of that class do.
+A document is good if it is labelled of quality and not toxic.
 """
 
 from __future__ import annotations
@@ -25,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.arrays import BLANK, LOWER, U64, SpanHashes, flat, lists, pieces, runs
+from quayside.llm.store import written
 
-LABELLED, POOL = 6000, 4000
-ROUNDS, SURE, EXCHANGED = 3, 0.95, 0.05
+LABELLED = 6000
+ROUNDS, SURE, PSEUDO = 3, 0.95, 0.5
 KEPT_FROM = 0.5
 #: Standard deviations from the share of good documents at which a feature is used.
 TELLING = 3.0
@@ -133,28 +138,49 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _told(rows: Rows, target: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
+@dataclass
+class Sums:
+    """Documents of one pseudo-label: how many, and how many hold each feature."""
+
+    documents: int
+    features: np.ndarray
+
+
+def _told(seen: np.ndarray, ups: np.ndarray, held: np.ndarray, base: float) -> np.ndarray:
     """Each feature's log-odds ratio of good, 0 if it is rare or may be by chance.
 
-    Scaling features by it (Wang and Manning, 2012) keeps thousands of rare words
-    from fitting the sample together while a few telling ones go unlearned.
+    ``seen`` and ``ups`` weigh the documents, and the good ones, that hold it;
+    ``held`` counts them.  Scaling features by it (Wang and Manning, 2012) keeps
+    thousands of rare words from fitting the sample together while a few telling
+    ones go unlearned.
     """
-    seen, ups = rows.gradient(weight, size), rows.gradient(weight * target, size)
-    base = np.clip((weight * target).sum() / max(weight.sum(), 1e-9), 1e-6, 1 - 1e-6)
     deviation = np.abs(ups - seen * base) / np.sqrt(seen * base * (1 - base) + 1e-9)
     ratio = np.log((ups + 1) / (seen - ups + 1)) - np.log(base / (1 - base))
-    common = rows.gradient((weight > 0).astype(float), size) >= 4
-    return np.where(common & (deviation >= TELLING), ratio, 0.0)
+    return np.where((held >= 4) & (deviation >= TELLING), ratio, 0.0)
 
 
-def _logistic(rows: Rows, target: np.ndarray, weight: np.ndarray, size: int, steps: int = 150) -> np.ndarray:
-    """Weights (the last one is the intercept) by Adam on all rows, of the features that tell good from bad."""
-    scale = _told(rows, target, weight, size)
+def _logistic(rows: Rows, target: np.ndarray, size: int, pseudo: dict[int, Sums], steps: int = 150) -> np.ndarray:
+    """Weights (the last one is the intercept) by Adam on all rows, of the features that tell good from bad.
+
+    The mean of each class of ``pseudo`` is one more row.
+    """
+    labels = [label for label in (0, 1) if label in pseudo and pseudo[label].documents]
+    means = np.array([pseudo[label].features / pseudo[label].documents for label in labels]).reshape(len(labels), size)
+    # As the labelled ones of the class, but no more than there are documents.
+    weight = np.array([PSEUDO * min((target == label).sum(), pseudo[label].documents) for label in labels])
+    seen = rows.gradient(np.ones(len(target)), size) + weight @ means
+    ups = rows.gradient(target, size) + (weight * labels) @ means
+    held = rows.gradient(np.ones(len(target)), size) + sum((pseudo[label].features for label in labels), np.zeros(size))
+    total = max(len(target) + weight.sum(), 1e-9)
+    base = float(np.clip((target.sum() + (weight * labels).sum()) / total, 1e-6, 1 - 1e-6))
+    scale = _told(seen, ups, held, base)
     parameters, first, second = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
-    total = max(weight.sum(), 1e-9)
     for step in range(1, steps + 1):
-        error = (_sigmoid(rows.sums(parameters[:-1] * scale) + parameters[-1]) - target) * weight / total
-        slope = np.append(rows.gradient(error, size) * scale + 1e-4 * parameters[:-1], error.sum())
+        scaled = parameters[:-1] * scale
+        error = (_sigmoid(rows.sums(scaled) + parameters[-1]) - target) / total
+        error_of_means = (_sigmoid(means @ scaled + parameters[-1]) - labels) * weight / total
+        slope = (rows.gradient(error, size) + error_of_means @ means) * scale + 1e-4 * parameters[:-1]
+        slope = np.append(slope, error.sum() + error_of_means.sum())
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
         rate = 0.1 * (1 - 0.9 * step / steps)
@@ -223,14 +249,62 @@ def _rows(column: pa.ChunkedArray, chosen: np.ndarray) -> Rows:
     return Rows(features, counts)
 
 
-def co_train(
-    docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS
-) -> CoTrained:
+def _confident(models: list[np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of the documents that one view is sure of, summed up for the other; feature -1 counts documents."""
+    sizes = (CONTENT, METADATA)
+    sums = {(view, label): np.zeros(sizes[view] + 1, np.int64) for view in (0, 1) for label in (0, 1)}
+    for batch in batches:
+        for piece in pieces(batch, "text"):
+            views = [Rows(*content_features(piece.column("text"))), Rows(*metadata_features(piece))]
+            for view in (0, 1):
+                teacher, learner = models[1 - view], views[view]
+                good = _sigmoid(views[1 - view].sums(teacher[:-1]) + teacher[-1])
+                for label, sure in ((0, good <= 1 - SURE), (1, good >= SURE)):
+                    total = sums[view, label]
+                    total[:-1] += learner.gradient(sure.astype(float), sizes[view]).astype(np.int64)
+                    total[-1] += sure.sum()
+    for (view, label), total in sums.items():
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(at), view, np.int32)),
+                pa.array(np.full(len(at), label, np.int32)),
+                pa.array(np.where(at == sizes[view], -1, at).astype(np.int32)),
+                pa.array(total[at]),
+            ],
+            ["view", "label", "feature", "n"],
+        )
+
+
+def exchange(texts: DataFrame, models: list[np.ndarray]) -> list[dict[int, Sums]]:
+    """For each view, the documents of ``texts`` that the other one is sure of, by pseudo-label."""
+    found = (
+        texts.mapInArrow(partial(_confident, models), "view int, label int, feature int, n bigint")
+        .groupBy("view", "label", "feature")
+        .agg(F.sum("n").alias("n"))
+        .toArrow()
+    )
+    view, label, feature, n = (found.column(c).to_numpy() for c in ("view", "label", "feature", "n"))
+    out = []
+    for v, size in enumerate((CONTENT, METADATA)):
+        own = {}
+        for c in (0, 1):
+            of = (view == v) & (label == c)
+            features = np.zeros(size)
+            features[feature[of & (feature >= 0)]] = n[of & (feature >= 0)]
+            own[c] = Sums(int(n[of & (feature < 0)].sum()), features)
+        out.append(own)
+    return out
+
+
+def co_train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> CoTrained:
     """Learns from ``docs(doc_id, text, lang, source)`` and ``labels(doc_id, quality, toxic)``.
 
     A document with several labels is good if all say so; labels with a null are
-    not used.  Without labels of both kinds every score is the share of good ones
-    (1 without any).
+    not used, those beyond the sample neither.  Of rows that repeat a labelled
+    ``doc_id`` the smallest is learned from.  All other rows take part in each
+    exchange, also those without a ``doc_id``.  Without labels of both kinds every
+    score is the share of good ones (1 without any).
     """
     texts = docs.select(
         F.col("doc_id").cast("bigint"),
@@ -245,48 +319,30 @@ def co_train(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(labelled)
     )
-    others = (
-        texts.where("doc_id IS NOT NULL")
-        .select("doc_id", F.lit(None).cast("int").alias("good"))
-        .orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
-        .limit(pool)
-    )
-    # At most labelled + pool ids, so this side may be broadcast.
-    chosen = named.unionByName(others).groupBy("doc_id").agg(F.max("good").alias("good"))
+    # At most ``labelled`` ids, so this side may be broadcast.
+    named = F.broadcast(written(named, "labelled"))
     sample = (
-        texts.join(F.broadcast(chosen), "doc_id")
-        .withColumn("order", F.xxhash64("doc_id", F.lit(2)))
+        texts.join(named, "doc_id")
+        .groupBy("doc_id", "good")
+        .agg(F.min(F.struct("text", "lang", "source")).alias("row"))
+        .select(F.xxhash64("doc_id", F.lit(2)).alias("order"), "good", "row.*")
         .mapInArrow(_sampled, "order bigint, good int, content array<int>, metadata array<int>")
         .toArrow()
     )
     sample = sample.sort_by([("order", "ascending")])
     good = sample.column("good").to_numpy().astype(float)
-    known = np.flatnonzero(~np.isnan(good))
-    unknown = np.flatnonzero(np.isnan(good))
-    kinds = set(good[known].tolist())
-    apart = known[np.arange(len(known)) % 5 == 0]
-    fitted = known[np.arange(len(known)) % 5 != 0]
+    apart = np.flatnonzero(np.arange(len(good)) % 5 == 0)
+    fitted = np.flatnonzero(np.arange(len(good)) % 5 != 0)
     if any(len(set(good[part].tolist())) < 2 for part in (apart, fitted)):
-        return CoTrained(None, None, [], None, float(np.mean(good[known])) if kinds else 1.0)
+        return CoTrained(None, None, [], None, float(np.mean(good)) if len(good) else 1.0)
     columns = (sample.column("content"), sample.column("metadata"))
-    sizes = (CONTENT, METADATA)
-    views = [_rows(c, np.concatenate([fitted, unknown])) for c in columns]
-    n = len(fitted)
-    target = [np.concatenate([good[fitted], np.zeros(len(unknown))]) for _ in views]
-    weight = [np.concatenate([np.ones(n), np.zeros(len(unknown))]) for _ in views]
+    views = [_rows(c, fitted) for c in columns]
+    others = texts.join(named, "doc_id", "left_anti")
+    pseudo: list[dict[int, Sums]] = [{}, {}]
     for turn in range(rounds + 1):
-        models = [_logistic(*x) for x in zip(views, target, weight, sizes, strict=True)]
-        if turn == rounds or not len(unknown):
-            break
-        for view, other in ((0, 1), (1, 0)):
-            sure = _sigmoid(views[view].sums(models[view][:-1]) + models[view][-1])[n:]
-            for label in (0.0, 1.0):
-                confidence = sure if label else 1 - sure
-                order = np.argsort(-confidence, kind="stable")
-                taken = order[: int(EXCHANGED * len(unknown))]
-                taken = taken[(confidence[taken] >= SURE) & (weight[other][n + taken] == 0)]
-                target[other][n + taken] = label
-                weight[other][n + taken] = 0.5
+        models = [_logistic(v, good[fitted], size, p) for v, size, p in zip(views, (CONTENT, METADATA), pseudo, strict=True)]
+        if turn < rounds:
+            pseudo = exchange(others, models)
     held = [_rows(c, apart) for c in columns]
     raw = [rows.sums(m[:-1]) + m[-1] for rows, m in zip(held, models, strict=True)]
     calibration = [_dense_logistic(x[:, None], good[apart]) for x in raw]

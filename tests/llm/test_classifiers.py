@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,6 +124,62 @@ def test_quality_of_documents_whose_labels_were_not_learned(spark):
     assert sum(kept for good, kept in judged if good) >= 0.95 * sum(good for good, _ in judged)
 
 
+def test_exchange_takes_every_document(spark, small):
+    """Sums over the whole table equal those of its documents one by one, whatever its partitions."""
+    rows = small.select("doc_id", "text", "lang", "source").collect()
+    rng = np.random.default_rng(4)
+    models = [rng.normal(0, deviation, size + 1) for deviation, size in ((0.4, quality.CONTENT), (2, quality.METADATA))]
+    want = {}
+    for r in rows:
+        batch = pa.RecordBatch.from_pylist([r.asDict()], pa.schema([("doc_id", pa.int64()), *((c, pa.string()) for c in ("text", "lang", "source"))]))
+        features = [quality.content_features(batch.column("text"))[0], quality.metadata_features(batch)[0]]
+        for view in (0, 1):
+            teacher = models[1 - view]
+            good = 1 / (1 + math.exp(-(teacher[features[1 - view]].sum() + teacher[-1])))
+            label = 1 if good >= quality.SURE else 0 if good <= 1 - quality.SURE else None
+            if label is not None:
+                total = want.setdefault((view, label), [0, {}])
+                total[0] += 1
+                for f in features[view].tolist():
+                    total[1][f] = total[1].get(f, 0) + 1
+    assert len(want) == 4
+    texts = small.select("doc_id", "text", "lang", "source")
+    for split in (texts, texts.repartition(7)):
+        got = quality.exchange(split, models)
+        for (view, label), (documents, features) in want.items():
+            assert got[view][label].documents == documents
+            at = np.flatnonzero(got[view][label].features)
+            assert dict(zip(at.tolist(), got[view][label].features[at].astype(int).tolist())) == features
+
+
+def test_metadata_of_unlabelled_documents_is_learned(spark):
+    """A source without any label is told from the texts that the content view is sure of."""
+    rng = random.Random(6)
+    words = {1: "river stone meadow lantern harbour window".split(), 0: "casino jackpot viagra lottery winner bonus".split()}
+    rows, labels = [], []
+    for i in range(900):
+        good = i % 2
+        source = "mixed" if i < 300 else "fine" if good else "foul"
+        rows.append((i, " ".join(rng.choices(words[good], k=30)), "en", source))
+        if i < 300:
+            labels.append((i, good, 0))
+    docs = spark.createDataFrame(rows, COLUMNS).repartition(5)
+    labels = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = quality.co_train(docs, labels)
+    assert all(r["kept"] == bool(r["doc_id"] % 2) for r in quality.score(docs, model).collect())
+    fine, foul = (zlib.crc32(s) % 1024 for s in (b"fine", b"foul"))
+    assert model.metadata[fine] > 0.5 and model.metadata[foul] < -0.5
+    alone = quality.co_train(docs, labels, rounds=0)
+    assert alone.metadata[fine] == alone.metadata[foul] == 0
+
+
+def test_repeated_labelled_documents_are_learned_once(spark, small, labels):
+    again = small.unionByName(small.withColumn("text", F.concat("text", F.lit(" more"))))
+    once = quality.co_train(small, labels, rounds=0)
+    twice = quality.co_train(again.withColumn("good", F.lit(0)).withColumn("order", F.lit(1)), labels, rounds=0)
+    assert np.allclose(once.content, twice.content) and np.allclose(once.metadata, twice.metadata)
+
+
 def test_quality_of_unusual_rows(spark, small, labels):
     rows = [(1, None, None, None), (2, "", "en", "a"), (None, "some words", "en", None), (2, "", "en", "a")]
     odd = spark.createDataFrame(rows, COLUMNS)
