@@ -29,6 +29,8 @@ from pyspark.sql import Window
 from quayside.llm.arrays import flat, pieces
 
 DOCUMENTS_PER_LANGUAGE = 200
+#: Slices by a hash of the id that a language's documents are ranked in first.
+SLICES = 64
 ORDER = 3
 UNKNOWN = "und"
 
@@ -185,15 +187,12 @@ def learn(docs: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE) -> Contex
     A language is learned if any of its documents may be, also if all are very long.
     """
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (
-        rows.select("doc_id", "lang")
-        .distinct()
-        .withColumn("rank", F.row_number().over(by_hash))
-        .where(F.col("rank") <= per_language)
-        .select("doc_id")
-        .distinct()
-    )
+    ids = rows.select("doc_id", "lang").distinct().withColumn("slice", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SLICES)))
+    # The first of each slice, then of these: one language may hold most rows.
+    for keys in (["lang", "slice"], ["lang"]):
+        by_hash = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
+        ids = ids.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= per_language)
+    ids = ids.select("doc_id").distinct()
     # At most per_language ids for each language, so this side may be broadcast.
     texts = rows.join(F.broadcast(ids), "doc_id", "left_semi")
     counted = (
