@@ -82,6 +82,8 @@ LINEAGE = (
 
 @dataclass(frozen=True)
 class TableContract:
+    """``cluster`` orders a table's files by these keys, the first before the others, or, ``interleaved``, by all alike."""
+
     name: str
     columns: tuple[Column, ...]
     key: tuple[str, ...] = ()
@@ -90,6 +92,7 @@ class TableContract:
     rules: tuple[Rule, ...] = ()
     modified: str | None = "updated_at"
     comment: str = ""
+    interleaved: bool = False
 
     def __post_init__(self) -> None:
         names = set(self.column_names)
@@ -98,6 +101,8 @@ class TableContract:
             used.add(self.modified)
         if len(names) != len(self.columns) or used - names:
             raise ContractError(f"{self.name}: repeated or unknown columns {sorted(used - names)}")
+        if self.interleaved and len(self.cluster) < 2:
+            raise ContractError(f"{self.name}: one cluster key cannot be interleaved")
 
     def __getitem__(self, name: str) -> Column:
         return next(c for c in self.columns if c.name == name)

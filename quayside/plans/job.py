@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import timedelta
 from threading import Lock
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayside.contracts import Registry, TableContract
 from quayside.functions.frames import same_row
@@ -21,6 +22,7 @@ from quayside.operators.current import mark_vanished, read_current
 from quayside.operators.digests import differences
 from quayside.operators.drift import widen
 from quayside.operators.incremental import changed_since, high_water_mark, not_yet_loaded, window_start
+from quayside.operators.interleave import curve
 from quayside.operators.layout import file_count, scan_bytes, spread
 from quayside.operators.sinks import (
     MODES,
@@ -70,7 +72,8 @@ class Ingest:
     since the last load).  A count mismatch is a warning; with ``strict`` it
     fails the table and leaves it as it was.
     ``concurrency`` tables are loaded at a time; one leaves executors idle while
-    small tables load, more share them.
+    small tables load, more share them.  Each is then in a scheduler pool named after it:
+    with ``spark.scheduler.mode=FAIR`` small tables do not wait for the tasks of a large one.
     """
 
     spark: SparkSession
@@ -178,6 +181,8 @@ class Ingest:
         names = list(enumerate(self.registry.select(tables)))
 
         def one(item: tuple[int, str]) -> dict:
+            if self.concurrency > 1:
+                self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", item[1])
             row = self._recorded(*item, action)
             ended(row)
             return row
@@ -185,7 +190,9 @@ class Ingest:
         if self.concurrency == 1:
             return [one(item) for item in names]
         with ThreadPoolExecutor(self.concurrency) as pool:
-            return list(pool.map(inheritable_thread_target(self.spark)(one), names))
+            # Wrapped once for each table: tables that share a wrapper share their thread's properties, pools too.
+            ends = [pool.submit(inheritable_thread_target(self.spark)(one), item) for item in names]
+            return [end.result() for end in ends]
 
     def _recorded(self, ord_: int, name: str, action: Callable[[TableContract], dict]) -> dict:
         """The audit row of one table; any error becomes its FAILED row."""
@@ -230,9 +237,12 @@ class Ingest:
         source_rows = self.source.count(contract.name)
         mark = self._mark(contract)
         try:
-            df = self._full(contract, source_rows) if mark is None else self._increment(contract, mark)
-            if contract.cluster:
-                df = df.sortWithinPartitions(*contract.cluster)
+            if mark is None:
+                df, order = self._full(contract, source_rows)
+            else:
+                df, order = self._increment(contract, mark), contract.cluster
+            if order:
+                df = df.sortWithinPartitions(*order)
             done = write_batch(self.spark, df, contract, self.namespace, self.run)
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._landing(contract)}")
@@ -260,11 +270,11 @@ class Ingest:
         log.warning(told)
         return False
 
-    def _full(self, contract: TableContract, rows: int) -> DataFrame:
-        """The whole table, stamped; one range of its cluster keys per task if it has any."""
-        raw = self.source.read(contract)
+    def _full(self, contract: TableContract, rows: int) -> tuple[DataFrame, Sequence[str | Column]]:
+        """The whole table, stamped, one range of its cluster keys per task if it has any; and the order in a task."""
+        raw, order = self.source.read(contract), contract.cluster
         keys = contract.cluster
-        if keys and keys != self.source.ranged_by(contract):
+        if keys and (contract.interleaved or keys != self.source.ranged_by(contract)):
             check_columns(raw.columns, contract)
             if self.source.land_first:
                 raw = self._landed(raw, contract)
@@ -273,8 +283,12 @@ class Ingest:
                 size = self.source.size_bytes(raw)
             cores = self.spark.sparkContext.defaultParallelism
             files = self.cluster_files or file_count(contract, rows, size, cores)
-            raw = spread(raw, [conformed(raw, contract, contract[k]) for k in keys], files)
-        return with_lineage(conform(raw, contract), self.run)
+            values = [conformed(raw, contract, contract[k]) for k in keys]
+            if contract.interleaved:
+                place = curve(raw, values, [contract[k].type for k in keys], files)
+                values, order = [place(values)], [place([F.col(k) for k in keys])]
+            raw = spread(raw, values, files)
+        return with_lineage(conform(raw, contract), self.run), order
 
     def _landed(self, df: DataFrame, contract: TableContract) -> DataFrame:
         """The rows as read, in a table of the namespace that goes when the load ends."""

@@ -184,6 +184,17 @@ def oracles() -> dict[str, str]:
             SELECT o_custkey, count(*) AS n_orders, CAST(sum({_money('o_totalprice')}) AS VARCHAR) AS o_totalprice,
                    max(o_orderdate) AS last_order
             FROM orders GROUP BY o_custkey""",
+        "lookup_files": " UNION ALL ".join(
+            f"""SELECT '{layout}' AS layout, '{key}' AS key, count(*) AS n_rows,
+                   CAST(sum({_money('o_totalprice')}) AS VARCHAR) AS o_totalprice,
+                   count(DISTINCT {key}) AS n_values, {narrow} AS narrow FROM orders"""
+            for layout, key, narrow in (
+                ("clustered", "o_custkey", True),
+                ("clustered", "o_orderdate", False),
+                ("interleaved", "o_custkey", True),
+                ("interleaved", "o_orderdate", True),
+            )
+        ),
         "table_columns": " UNION ALL ".join(
             [_columns_of(c, c.name) for c in WAREHOUSE] + [_columns_of(c, f"({shape_sql(c.name)})") for c in BANKING]
         ),

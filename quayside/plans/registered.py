@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
 from contextlib import suppress
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,7 @@ from quayside.operators.current import read_current, vanished
 from quayside.operators.dedup import latest
 from quayside.operators.digests import differences
 from quayside.operators.history import chain_breaks
+from quayside.operators.interleave import files_opened
 from quayside.operators.money import round_to_currency
 from quayside.operators.reconcile import counts, reconcile
 from quayside.operators.sinks import announce, read_table, switch, write_batch
@@ -354,6 +355,31 @@ def clustered_load(spark, sf_dir):
     )
 
 
+@query
+def lookup_files(spark, sf_dir):
+    """Whether look-ups by either key open less than half of the files: clustered by the first, and interleaved."""
+    found = []
+    for layout in ("clustered", "interleaved"):
+        orders = replace(WAREHOUSE["orders"], references=(), interleaved=layout == "interleaved")
+        job = _job(spark, ParquetSource(spark, sf_dir), Registry(layout, (orders,)), cluster_files=64)
+        df = _loaded(_load(job, ["orders"]), "orders")
+        rows = df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_totalprice").alias("o_totalprice"))
+        for key in orders.cluster:
+            found.append(
+                files_opened(df, key)
+                .unionByName(rows, allowMissingColumns=True)
+                .agg(
+                    F.lit(layout).alias("layout"),
+                    F.lit(key).alias("key"),
+                    F.sum("n_rows").alias("n_rows"),
+                    F.sum("o_totalprice").alias("o_totalprice"),
+                    F.sum("n_values").alias("n_values"),
+                    (F.sum("n_opened") * 2 < F.sum("n_values") * F.sum("n_files")).alias("narrow"),
+                )
+            )
+    return reduce(DataFrame.unionByName, found)
+
+
 # --- table definition ---
 
 

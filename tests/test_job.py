@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import ast
+import subprocess
+import sys
 from dataclasses import replace
 from datetime import timedelta
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -297,3 +301,57 @@ def test_executing_again_is_a_new_run(spark, job):
         first: 2,
         job.run.run_id: 1,
     }
+
+
+class Pools(ParquetSource):
+    """Remembers the scheduler pool each table is counted in."""
+
+    def __init__(self, spark, folder):
+        super().__init__(spark, folder)
+        self.seen = {}
+
+    def count(self, table):
+        self.seen[table] = self.spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        return super().count(table)
+
+
+def test_tables_loaded_at_a_time_have_a_pool_each(spark, job):
+    names = ["region", "nation", "customer", "orders"]
+    source = Pools(spark, SF)
+    found = replace(job, source=source, concurrency=2).execute(names)
+    assert source.seen == {n: n for n in names}
+    assert [r["table_name"] for r in found.collect()] == names
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    source.seen.clear()
+    replace(job, source=source, run=run_on(2)).execute(names[:1])
+    assert source.seen == {"region": None}
+
+
+_FAIR = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+from quayside.contracts import Registry, TableContract, columns
+from quayside.plans.job import Ingest
+from quayside.sources import FrameSource
+spark = (
+    SparkSession.builder.master("local[2]").config("spark.scheduler.mode", "FAIR").config("spark.ui.enabled", "false")
+    .config("spark.sql.session.timeZone", "UTC").config("spark.sql.warehouse.dir", sys.argv[1]).getOrCreate()
+)
+shape = columns("id bigint\\nv string")
+tables = tuple(TableContract(n, shape, key=("id",), modified=None) for n in ("large", "small"))
+slow = F.sha2(F.repeat(F.col("id").cast("string"), 20_000), 512)
+frames = {"large": spark.range(0, 60_000, 1, 60), "small": spark.range(0, 2, 1, 2)}
+source = FrameSource({n: df.select("id", slow.alias("v")) for n, df in frames.items()})
+audit = Ingest(spark, source, Registry("two", tables), "two", sys.argv[1] + "/two", concurrency=2).execute()
+print("ELAPSED", {r["table_name"]: r["elapsed_s"] for r in audit.collect()})
+"""
+
+
+def test_a_small_table_does_not_wait_for_a_large_one(tmp_path):
+    done = subprocess.run(
+        [sys.executable, "-c", _FAIR, str(tmp_path)], cwd=Path(__file__).parents[1], capture_output=True, text=True, timeout=300
+    )
+    line = next((line for line in done.stdout.splitlines() if line.startswith("ELAPSED ")), None)
+    assert line, done.stderr[-2000:]
+    elapsed = ast.literal_eval(line.removeprefix("ELAPSED "))
+    assert elapsed["small"] < elapsed["large"] / 2, elapsed
