@@ -21,7 +21,7 @@ _LETTER, _NUMBER, _OTHER, _BLANK, _FOREIGN = range(5)
 _KNOWN = 0x280
 
 #: Words whose ids are kept from one batch to the next.
-MOST_WORDS = 200_000
+MOST_WORDS = 50_000
 
 
 def _kinds() -> np.ndarray:

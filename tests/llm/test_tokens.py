@@ -1,14 +1,19 @@
 from __future__ import annotations
 
+import random
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from quayside.llm import packing, sentencepiece
+from quayside.llm.byte_bpe import ByteBpe
 
 MODEL, BYTES = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
 ROWS = [
@@ -65,3 +70,18 @@ def test_best_fit_takes_the_tightest_window(seed):
             assert offset[i] == 1024 - least == 1024 - rooms[placed[i]]
         rooms[placed[i]] -= lengths[i]
     assert len(rooms) == n
+
+
+def test_memory_of_a_task_that_packs(monkeypatch):
+    """What a task holds beside its rows: by pieces of a batch, and words kept up to a bound."""
+    rng = random.Random(4)
+    texts = [" ".join(str(rng.randrange(10**6)) for _ in range(2000)) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    tokenizer = ByteBpe(BYTES)
+    list(packing._packed(tokenizer, 1024, 1 << 16, iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in packing._packed(tokenizer, 1024, 1 << 16, iter([batch])))
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert rows >= 400 and most < 90 << 20
