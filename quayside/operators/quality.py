@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from quayside.contracts import Registry, TableContract
 
+#: Rows whose keys are counted in one task, and tasks that share the rows of one key.
+ROWS, SHARES = 1 << 20, 16
+
 
 def _long_form(df: DataFrame, contract: TableContract, measures: dict, name: str, value: str) -> DataFrame:
     """One aggregate over the table, turned into a row per measure."""
@@ -32,8 +35,27 @@ def rule_breaches(df: DataFrame, contract: TableContract) -> DataFrame:
 
 
 def repeated_keys(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Keys held by more than one row; counted per task before the shuffle."""
-    return df.groupBy(*contract.key).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+    """Keys held by more than one row.
+
+    Rows are dealt by key to tasks of about ``ROWS`` rows, so a task's counts
+    stay small however large the table.  The rows of one key are dealt to up to
+    ``SHARES`` tasks, and their counts added up, so a hot key fills no task.
+    """
+    tasks = -(-df.count() // ROWS)
+    if tasks <= 1:
+        counted = df.groupBy(*contract.key).agg(F.count(F.lit(1)).alias("n_rows"))
+    else:
+        share = F.pmod(F.monotonically_increasing_id(), F.lit(SHARES)).alias("__share")
+        counted = (
+            df.select(*contract.key, share)
+            .repartition(tasks, *contract.key, "__share")
+            .groupBy(*contract.key, "__share")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .repartition(tasks, *contract.key)
+            .groupBy(*contract.key)
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+        )
+    return counted.where("n_rows > 1")
 
 
 def orphans(frames: Mapping[str, DataFrame], registry: Registry, tables: list[str] | None = None) -> DataFrame:

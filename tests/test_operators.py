@@ -76,6 +76,16 @@ def test_repeated_keys(accounts):
     assert bag(quality.repeated_keys(accounts, ACCOUNTS)) == [(1, 2)]
 
 
+def test_repeated_keys_are_counted_in_as_many_tasks_as_the_rows_ask_for(spark, monkeypatch):
+    monkeypatch.setattr(quality, "ROWS", 100, raising=False)
+    keys = [i // 2 if i < 600 else -1 if i < 990 else None if i < 995 else i for i in range(1000)]
+    accounts = spark.createDataFrame([(k,) for k in keys], "account_id bigint")
+    found = quality.repeated_keys(accounts, ACCOUNTS)
+    assert found.rdd.getNumPartitions() == 10
+    assert {tuple(r) for r in found.collect()} == {(i, 2) for i in range(300)} | {(-1, 390), (None, 5)}
+    assert found.schema == quality.repeated_keys(accounts.limit(50), ACCOUNTS).schema
+
+
 def test_orphans_leave_out_nulls(spark, accounts):
     customers = spark.createDataFrame([(1,)], CUSTOMERS.schema)
     found = quality.orphans({"accounts": accounts, "customers": customers}, PACK)
