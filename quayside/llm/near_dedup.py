@@ -278,8 +278,12 @@ def _open_pairs(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFr
     shared one, are merged, and only where enough of both are left behind them.
     """
     apart = written(_differences(postings, sets, similarity), "differences")
-    least = apart.groupBy("leader").agg(
-        F.min("weight").alias("least"), F.min(F.when(F.col("apart"), F.col("weight"))).alias("least_apart")
+    # Written, so that its size is known and it may be sent to the members: they stay spread evenly over the tasks then.
+    least = written(
+        apart.groupBy("leader").agg(
+            F.min("weight").alias("least"), F.min(F.when(F.col("apart"), F.col("weight"))).alias("least_apart")
+        ),
+        "least",
     )
 
     def shared(weight: Column) -> Column:
@@ -293,16 +297,20 @@ def _open_pairs(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFr
         .withColumn("other", shared(F.col("weight") + F.col("least_apart")))
         .where("other <= n OR (apart AND any <= n)")
     )
-    changes = members.select("leader", "class", "apart", F.explode("differs").alias("change"))
-    # Changes that no member apart shares come first in the order, and meet nobody.
+    changes = members.select("leader", "class", "component", "apart", F.explode("differs").alias("change"))
+    changes = written(changes, "changed")
+    # Changes that no member apart shares with another component come first in the order, and meet nobody.
     met = (
         changes.groupBy("leader", "change")
-        .agg(F.count(F.lit(1)).alias("df"), F.max("apart").alias("wanted"))
-        .where("df > 1 AND wanted")
+        .agg(
+            F.count(F.lit(1)).alias("df"),
+            (F.max("apart") & (F.min("component") < F.max("component"))).alias("wanted"),
+        )
+        .where("wanted")
         .drop("wanted")
     )
     ranked = (
-        changes.drop("apart")
+        changes.select("leader", "class", "change")
         .join(met, ["leader", "change"])
         .groupBy("leader", "class")
         .agg(F.sort_array(F.collect_list(F.struct("df", "change"))).alias("held"))

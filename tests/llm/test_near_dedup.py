@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from quayside.llm import near_dedup
 from quayside.llm.components import components
 from quayside.llm.near_dedup import _open_pairs, near_duplicates, one_of_each
 
@@ -134,6 +135,31 @@ def test_open_pairs_lose_none(spark):
     assert wanted and wanted <= got
 
 
+_POSTINGS = "token bigint, class bigint, n_shingles bigint, central bigint, component bigint"
+
+
+def test_changes_of_one_component_are_not_merged(spark, monkeypatch):
+    base = set(range(100))
+    sets = [*[base] * 5, *({*range(60), *range(200, 240), 300 + i} for i in range(3)), {*range(60), *range(200, 240), 400}]
+    component = [0, 0, 0, 0, 0, 5, 5, 5, 8]
+    held = spark.createDataFrame([(i, list(s)) for i, s in enumerate(sets)], "class bigint, shingles array<bigint>")
+    tables = {}
+
+    def written(df, name, keep=near_dedup.written):
+        tables[name] = keep(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(near_dedup, "written", written)
+    for n, changes in ((8, 0), (9, 4)):  # without and with a member of another component that shares them
+        rows = [(7, i, len(sets[i]), 100 - i, component[i]) for i in range(n)]
+        pairs = _open_pairs(spark.createDataFrame(rows, _POSTINGS), held, 80)
+        between = {(r["a"], r["b"]) for r in pairs.collect() if r["b"]}
+        assert between == ({(i, 8) for i in (5, 6, 7)} if n == 9 else set())
+        assert tables["changes"].count() == changes
+        # They are made once, and counted and merged from what was written.
+        assert tables["changed"].count() == sum(len(base ^ s) for s in sets[5:n])
+
+
 def test_structured_words_are_different(spark):
     """Two words of 1,024 letters that a polynomial modulo a power of two cannot tell apart."""
     word = [bin(i).count("1") % 2 for i in range(1024)]
