@@ -185,15 +185,15 @@ def _majors(postings: DataFrame) -> DataFrame:
 def _starred(postings: DataFrame, turn: int) -> DataFrame:
     """Every member of a list beside the list's leader, unless connected already.
 
-    The first to lead is the most central member, then others outside the
-    list's most frequent component: the most central one, then any, by a hash.
+    The first to lead is the most central member.  Later ones lead those outside the
+    list's most frequent component only: the most central one, then any, by a hash.
+    Whether these are alike to members of that component is left to the open pairs.
     """
     if turn:
-        postings = postings.join(_majors(postings), "token")
+        postings = postings.join(_majors(postings), "token").where("component <> major")
     order = -F.col("central") if turn < 2 else F.xxhash64("class", F.lit(turn))
     leader = (
-        (postings.where("component <> major") if turn else postings)
-        .groupBy("token")
+        postings.groupBy("token")
         .agg(F.min(F.struct(order.alias("order"), "class", "n_shingles", "component")).alias("leader"))
     )
     return (

@@ -7,7 +7,7 @@ import pytest
 
 from quayside.llm import near_dedup
 from quayside.llm.components import components
-from quayside.llm.near_dedup import _open_pairs, near_duplicates, one_of_each
+from quayside.llm.near_dedup import _open_pairs, _starred, near_duplicates, one_of_each
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -138,6 +138,13 @@ def test_open_pairs_lose_none(spark):
 _POSTINGS = "token bigint, class bigint, n_shingles bigint, central bigint, component bigint"
 
 
+def test_later_leaders_meet_only_members_outside(spark):
+    rows = [(7, i, 50, 100 - i, 0 if i < 30 else i) for i in range(34)]
+    postings = spark.createDataFrame(rows, _POSTINGS)
+    assert {(r["a"], r["b"]) for r in _starred(postings, 0).collect()} == {(i, 0) for i in range(30, 34)}
+    assert {(r["a"], r["b"]) for r in _starred(postings, 1).collect()} == {(i, 30) for i in range(31, 34)}
+
+
 def test_changes_of_one_component_are_not_merged(spark, monkeypatch):
     base = set(range(100))
     sets = [*[base] * 5, *({*range(60), *range(200, 240), 300 + i} for i in range(3)), {*range(60), *range(200, 240), 400}]
