@@ -227,7 +227,10 @@ def _differences(postings: DataFrame, sets: DataFrame, similarity: int) -> DataF
     The leader is the most central class of the list's most frequent component,
     the same for all lists of that component, so a member is read once for it.
     ``apart`` marks members outside of it.  ``weight`` grows with the difference,
-    ``slack`` is the weight up to which a member is alike to the leader.
+    ``slack`` is the weight up to which a member is alike to the leader.  What the
+    leader has and a member has not, ``n_gone`` shingles, comes first in ``differs``.
+    A member of which fewer than ``similarity`` percent are in the leader needs
+    ``own`` more shingles to be alike to anything; for others that is 0.
     """
     majors = _majors(postings)
     central = F.struct((-F.col("central")).alias("order"), "class")
@@ -252,6 +255,7 @@ def _differences(postings: DataFrame, sets: DataFrame, similarity: int) -> DataF
     )
     read = members.join(sets, "class").join(leading, "leader")
     gone, more = F.array_except("leading", "shingles"), F.array_except("shingles", "leading")
+    common = F.size("leading") - F.size(gone)
     return read.select(
         "leader",
         "class",
@@ -259,6 +263,9 @@ def _differences(postings: DataFrame, sets: DataFrame, similarity: int) -> DataF
         "component",
         "apart",
         F.size("leading").cast("bigint").alias("leader_size"),
+        F.size(gone).alias("n_gone"),
+        common.alias("common"),
+        F.greatest(F.lit(0), F.ceil(similarity * F.size("shingles") / 100) - common).alias("own"),
         F.concat(gone, more).alias("differs"),
         (100 * F.size(gone) + similarity * F.size(more)).cast("bigint").alias("weight"),
         ((100 - similarity) * F.size("leading")).cast("bigint").alias("slack"),
@@ -274,14 +281,25 @@ def _open_pairs(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFr
     (100 + similarity) of these differences, and that is positive unless both
     are alike to L.  So members apart are compared with L, and differences are
     posted instead of sets: two changed copies of one text share the text but
-    rarely their changes.  Of each member only the rarest, as many as must hold a
-    shared one, are merged, and only where enough of both are left behind them.
+    rarely their changes.
+
+    A set of which too little is in L (``own`` > 0) has at least so many of d(A) in
+    common with every set that it is alike to.  What L has and such a set lacks
+    is the same for all that are unlike L, so of these sets only d(A) is merged.
+
+    Of each member only the rarest, as many as must hold a shared one, are
+    merged, and only where enough of both are left behind them.
     """
     apart = written(_differences(postings, sets, similarity), "differences")
+    inside = F.when(F.col("own") == 0, F.col("weight"))
+    outside = F.when(F.col("own") > 0, F.col("own"))
     # Written, so that its size is known and it may be sent to the members: they stay spread evenly over the tasks then.
     least = written(
         apart.groupBy("leader").agg(
-            F.min("weight").alias("least"), F.min(F.when(F.col("apart"), F.col("weight"))).alias("least_apart")
+            F.min(inside).alias("inside"),
+            F.min(outside).alias("outside"),
+            F.min(F.when(F.col("apart"), inside)).alias("inside_apart"),
+            F.min(F.when(F.col("apart"), outside)).alias("outside_apart"),
         ),
         "least",
     )
@@ -289,16 +307,24 @@ def _open_pairs(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFr
     def shared(weight: Column) -> Column:
         return F.greatest(F.lit(1), F.ceil((weight - F.col("slack")) / (100 + similarity)))
 
+    def needed(beside: str) -> Column:
+        """What a member shares at least with any that it is alike to, or with any such apart; null if there are none."""
+        with_inside = F.when(F.col(f"inside{beside}").isNotNull(), shared(F.col("weight") + F.col(f"inside{beside}")))
+        some = F.least(with_inside, f"outside{beside}")
+        return F.when(some.isNotNull() & (F.col("own") > 0), F.col("own")).otherwise(some)
+
     members = (
         apart.join(least, "leader")
-        .where("least_apart IS NOT NULL")
-        .withColumn("n", F.size("differs"))
-        .withColumn("any", shared(F.col("weight") + F.col("least")))
-        .withColumn("other", shared(F.col("weight") + F.col("least_apart")))
+        .withColumn("any", needed(""))
+        .withColumn("other", needed("_apart"))
+        .drop("inside", "outside", "inside_apart", "outside_apart")
+        .withColumn("n", F.size("differs") - F.when(F.col("own") > 0, F.col("n_gone")).otherwise(0))
         .where("other <= n OR (apart AND any <= n)")
     )
-    changes = members.select("leader", "class", "component", "apart", F.explode("differs").alias("change"))
-    changes = written(changes, "changed")
+    changes = members.select(
+        "leader", "class", "component", "apart", "own", "n_gone", F.posexplode("differs").alias("at", "change")
+    )
+    changes = written(changes, "changed").where("own = 0 OR at >= n_gone")
     # Changes that no member apart shares with another component come first in the order, and meet nobody.
     met = (
         changes.groupBy("leader", "change")
@@ -315,7 +341,7 @@ def _open_pairs(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFr
         .groupBy("leader", "class")
         .agg(F.sort_array(F.collect_list(F.struct("df", "change"))).alias("held"))
     )
-    fields = ("class", "n_shingles", "component", "apart", "weight", "n")
+    fields = ("class", "n_shingles", "component", "apart", "weight", "common", "own")
     ranked = written(members.select("leader", "slack", "any", "other", *fields).join(ranked, ["leader", "class"]), "changes")
 
     def posted(side: str, need: str) -> DataFrame:
@@ -328,10 +354,14 @@ def _open_pairs(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFr
             F.posexplode(F.slice("held", F.lit(1), room.cast("int"))["change"]).alias(f"{side}_at", "change"),
         )
 
-    must = shared(F.col("a_weight") + F.col("b_weight"))
+    a_size, b_size = F.col("a_n_shingles"), F.col("b_n_shingles")
+    together = F.ceil(similarity * (a_size + b_size) / (100 + similarity))
+    must = F.when((F.col("a_own") == 0) & (F.col("b_own") == 0), shared(F.col("a_weight") + F.col("b_weight"))).otherwise(
+        F.greatest("a_own", "b_own", together - F.least("a_common", "b_common"))
+    )
     # The first difference that two members share has all others behind it, in both.
     behind = F.least(F.col("a_held") - F.col("a_at"), F.col("b_held") - F.col("b_at"))
-    beside_leader = apart.where("apart").select(
+    beside_leader = apart.where("apart AND weight <= slack").select(
         F.col("class").alias("a"), F.col("leader").alias("b"), F.col("n_shingles").alias("a_size"), F.col("leader_size").alias("b_size")
     )
     pairs = (
@@ -339,6 +369,7 @@ def _open_pairs(postings: DataFrame, sets: DataFrame, similarity: int) -> DataFr
         .where("a_apart")
         .join(posted("b", "other"), ["leader", "change"])
         .where("a_component <> b_component AND (NOT b_apart OR a_class < b_class)")
+        .where(100 * F.least(a_size, b_size) >= similarity * F.greatest(a_size, b_size))
         .where(must <= behind)
         .selectExpr(*_PAIR)
     )

@@ -167,6 +167,53 @@ def test_changes_of_one_component_are_not_merged(spark, monkeypatch):
         assert tables["changed"].count() == sum(len(base ^ s) for s in sets[5:n])
 
 
+def test_what_sets_unlike_the_leader_lack_is_not_merged(spark, monkeypatch):
+    """Forty sets that have a tenth of the leader lack the same of it; two of them are alike."""
+    base = set(range(100))
+    sets = [*[base] * 5, *({*range(10), *range(1000 * i, 1000 * i + 90)} for i in range(1, 41))]
+    sets[6] = {*list(sets[5])[:95], 7, *range(90000, 90003)}
+    component = [0, 0, 0, 0, 0, *range(5, 45)]
+    held = spark.createDataFrame([(i, list(s)) for i, s in enumerate(sets)], "class bigint, shingles array<bigint>")
+    rows = [(7, i, len(sets[i]), 100 - i, component[i]) for i in range(45)]
+    tables = {}
+
+    def written(df, name, keep=near_dedup.written):
+        tables[name] = keep(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(near_dedup, "written", written)
+    pairs = {(r["a"], r["b"]) for r in _open_pairs(spark.createDataFrame(rows, _POSTINGS), held, 80).collect()}
+    assert {p for p in pairs if 0 not in p} in ({(5, 6)}, {(6, 5)})
+    assert {r["class"]: len(r["held"]) for r in tables["changes"].collect()} == dict.fromkeys((5, 6), len((sets[5] & sets[6]) - base))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_open_pairs_lose_none_of_any_kind(spark, seed):
+    """Members that are parts of the leader, hold it, hold half of it or next to nothing, each with some like it."""
+    rng = random.Random(seed)
+    base = list(range(150))
+    sets, fresh = [set(base)], 1000
+    for of_base, others in [(150, 6), (135, 0), (120, 2), (112, 0), (110, 24), (115, 30), (90, 40), (75, 75), (140, 40), (150, 60), (20, 110), (5, 120)] * 4:
+        one = {*rng.sample(base, of_base), *range(fresh, fresh + others)}
+        sets.append(one)
+        for k in range(4):
+            out, more = rng.randrange(len(one) // 5), rng.randrange(len(one) // 5)
+            sets.append({*rng.sample(sorted(one), len(one) - out), *rng.sample(base, more // 2), *range(fresh + 200, fresh + 200 + more // 2)})
+        fresh += 1000
+    alike = {(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    component = [0 if i == 0 or (i, 0) in alike and i % 5 else i for i in range(len(sets))]
+    inside = [100 * len(s & sets[0]) >= 80 * len(s) for s in sets]
+    wanted = {(i, j) for i, j in alike if component[i] != component[j]}
+    kinds = {(inside[i] + inside[j], bool(component[i]) + bool(component[j])) for i, j in wanted if j}
+    assert kinds >= {(0, 2), (1, 2), (2, 1), (2, 2)}
+    postings = [(7, i, len(s), 1000 - i, component[i]) for i, s in enumerate(sets)]
+    held = spark.createDataFrame([(i, list(s)) for i, s in enumerate(sets)], "class bigint, shingles array<bigint>")
+    got = {(max(r["a"], r["b"]), min(r["a"], r["b"])) for r in _open_pairs(spark.createDataFrame(postings, _POSTINGS), held, 80).collect()}
+    # Members that are alike to the leader are each linked with it, so their own pairs are not needed.
+    assert {(i, j) for i, j in wanted if j == 0} <= got
+    assert {(i, j) for i, j in wanted if not ((i, 0) in alike and (j, 0) in alike)} <= got
+
+
 def test_structured_words_are_different(spark):
     """Two words of 1,024 letters that a polynomial modulo a power of two cannot tell apart."""
     word = [bin(i).count("1") % 2 for i in range(1024)]
