@@ -6,7 +6,8 @@ from hashlib import sha256
 
 import pytest
 
-from quayside.llm.repeats import remove_repeats, repeated_starts
+from quayside.llm.queries import op9_repeats
+from quayside.llm.repeats import cut_repeats, remove_repeats, repeated_starts
 
 
 def brute(rows, least):
@@ -76,3 +77,48 @@ def test_search_equals_brute_force():
                 where[t[i : i + least]].append(at + i)
             at += len(t) + 1
         assert set(repeated_starts(texts, least).tolist()) == {p for v in where.values() if len(v) > 1 for p in v}
+
+
+def test_query_gives_the_text_that_is_left(spark, tmp_path):
+    rng = random.Random(4)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(5, 9))) for _ in range(n))
+
+    passages = [words(n) for n in (70, 80, 90)]
+    own = [words(60) for _ in range(9)]
+    rows = [(i, f"{own[i]}\n{passages[i // 2]}\n{own[i][::-1]}") for i in range(6)]
+    rows += [(i, own[i]) for i in (6, 7, 8)] + [(9, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: r for r in op9_repeats(spark, str(tmp_path)).collect()}
+    for i in range(6):
+        # The line ends beside a passage are repeated with it.
+        assert (out[i]["n_spans"], out[i]["text"]) == (1, own[i] + own[i][::-1])
+    assert [out[i]["text"] for i in (6, 7, 8, 9)] == [*own[6:], ""]
+    for doc_id, text in rows:
+        row = out[doc_id]
+        assert row["n_removed"] == row["n_bytes"] - len(row["text"]) and row["n_bytes"] == len(text or "")
+        assert row["kept_sha256"] == sha256(row["text"].encode()).hexdigest()
+
+
+def test_spans_and_kept_bytes_make_up_the_text(spark):
+    rows = [(i, t) for i, (_, t) in enumerate(some_texts(5))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    cut = {r["doc_id"]: r for r in cut_repeats(df, least=40, gram=20).collect()}
+    for doc_id, text in rows:
+        whole, row, at, kept = (text or "").encode(), cut[doc_id], 0, b""
+        for span in row["spans"]:
+            assert span["n"] >= 40 and (span["start"] > at or span["start"] == at == 0)
+            kept, at = kept + whole[at : span["start"]], span["start"] + span["n"]
+        assert kept + whole[at:] == bytes(row["kept"]) and at <= len(whole) == row["n_bytes"]
+
+
+def test_a_character_cut_through_is_replaced(spark, tmp_path):
+    # U+00E9 and U+00E8 share their first byte, which goes with the string before it.
+    rows = [(1, "a" + "xyz" * 133 + "wé1"), (2, "b" + "xyz" * 133 + "wè2")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: r for r in op9_repeats(spark, str(tmp_path)).collect()}
+    for (doc_id, text), rest in zip(rows, (b"a\xa91", b"b\xa82"), strict=True):
+        row = out[doc_id]
+        assert (row["n_removed"], row["kept_sha256"]) == (len(text.encode()) - 3, sha256(rest).hexdigest())
+        assert row["text"] == rest.decode(errors="replace")
